@@ -20,7 +20,7 @@ def brute(rows):
 
 def test_random_against_brute_force_with_tiny_buckets(spark):
     rng = random.Random(1)
-    rows = [(rng.choice(["a", "b", "hot", "hot", None]), s, None if rng.random() < 0.05 else s + rng.randint(-2, 9)) for s in (rng.choice([None, *range(200)]) for _ in range(600))]
+    rows = [(rng.choice(["a", "b", "hot", "hot", None]), s, None if s is None or rng.random() < 0.05 else s + rng.randint(-2, 9)) for s in (rng.choice([None, *range(200)]) for _ in range(600))]
     df = spark.createDataFrame(rows, "k string, s bigint, e bigint")
     want = brute(rows)
     for bucket in (1, 7, 50, 10_000):
