@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["tokens", "packing"]
+MODULES = ["sentences", "tokens", "packing"]
 
 
 def _gather(what: str) -> dict:
