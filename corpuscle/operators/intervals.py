@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuscle.operators.sequence import running_sum, with_carry
+
 #: Width of a time bucket. An entity-wide window sees one row per non-empty bucket.
 BUCKET_MS = 600_000
 
@@ -38,23 +40,11 @@ def island_marks(df: DataFrame, entity: list[str], start: str, end: str, bucket:
         .withColumn("_bucket", F.floor(F.col("_start") / F.lit(bucket)).cast("bigint"))
     )
     by_bucket = Window.partitionBy(*entity, "_bucket").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    seeded = _with_carry(spans, entity, F.max("_end"), F.max, "_seed")
+    seeded = with_carry(spans, entity, "_bucket", F.max("_end"), F.max, "_seed")
     prev = F.greatest(F.col("_seed"), F.max("_end").over(by_bucket))
     return seeded.withColumn("_prev_end", prev).withColumn("_new", F.col("_prev_end").isNull() | (F.col("_start") > F.col("_prev_end"))).drop("_seed")
 
 
-def _with_carry(rows: DataFrame, entity: list[str], summary: Column, fold, name: str) -> DataFrame:
-    """``rows`` with the fold of ``summary`` over all earlier buckets of the entity; null in the first bucket."""
-    before = Window.partitionBy(*entity).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    keys = [*entity, "_bucket"]
-    carry = rows.groupBy(*keys).agg(summary.alias("_sum")).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], fold("_sum").over(before).alias(name))
-    on = None
-    for i, k in enumerate(keys):
-        eq = F.col(k).eqNullSafe(F.col(f"_k{i}"))
-        on = eq if on is None else on & eq
-    return rows.join(carry, on, "left").drop(*[f"_k{i}" for i in range(len(keys))])
-
-
 def gaps(df: DataFrame, entity: list[str], start: str, end: str, bucket: int = BUCKET_MS) -> DataFrame:
     """Gaps between neighbouring continuous periods: entity, ``gap_start``, ``gap_end``."""
     marks = island_marks(df, entity, start, end, bucket)
@@ -64,7 +54,5 @@ def gaps(df: DataFrame, entity: list[str], start: str, end: str, bucket: int = B
 def periods(df: DataFrame, entity: list[str], start: str, end: str, bucket: int = BUCKET_MS) -> DataFrame:
     """Continuous periods, numbered from 0 in order of time: entity, ``period``, ``start``, ``end``, ``n_starts``."""
     marks = island_marks(df, entity, start, end, bucket)
-    new = F.col("_new").cast("bigint")
-    local = Window.partitionBy(*entity, "_bucket").orderBy("_start").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = _with_carry(marks, entity, F.sum(new), F.sum, "_earlier").withColumn("period", F.sum(new).over(local) + F.coalesce("_earlier", F.lit(0)) - 1)
+    numbered = running_sum(marks, entity, "_bucket", ["_start"], F.col("_new").cast("bigint"), "_island").withColumn("period", F.col("_island") - 1)
     return numbered.groupBy(*entity, "period").agg(F.min("_start").alias("start"), F.max("_end").alias("end"), F.count("*").alias("n_starts"))
