@@ -25,24 +25,24 @@ def with_carry(rows: DataFrame, entity: list[str], block: str, summary: Column,
     """
     before = Window.partitionBy(*entity).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     keys = [*entity, block]
-    other = [f"_k{i}" for i in range(len(keys))]
-    sums = rows.groupBy(*keys).agg(summary.alias("_sum"))
-    carry = sums.select(*[F.col(k).alias(o) for k, o in zip(keys, other)], fold("_sum").over(before).alias(name))
+    other = [f"_seq_k{i}" for i in range(len(keys))]
+    sums = rows.groupBy(*keys).agg(summary.alias("_seq_sum"))
+    carry = sums.select(*[F.col(k).alias(o) for k, o in zip(keys, other)], fold("_seq_sum").over(before).alias(name))
     return rows.join(carry, null_safe(keys, other), "left").drop(*other)
 
 
 def running_sum(rows: DataFrame, entity: list[str], block: str, order: list[str], value: Column, name: str) -> DataFrame:
     """``name``: sum of ``value`` up to and including the row. Ties of ``order`` are added in any order."""
     local = Window.partitionBy(*entity, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    valued = with_carry(rows.withColumn("_v", value), entity, block, F.sum("_v"), F.sum, "_c")
-    return valued.withColumn(name, F.coalesce("_c", F.lit(0)) + F.coalesce(F.sum("_v").over(local), F.lit(0))).drop("_v", "_c")
+    valued = with_carry(rows.withColumn("_seq_v", value), entity, block, F.sum("_seq_v"), F.sum, "_seq_c")
+    return valued.withColumn(name, F.coalesce("_seq_c", F.lit(0)) + F.coalesce(F.sum("_seq_v").over(local), F.lit(0))).drop("_seq_v", "_seq_c")
 
 
 def last_known(rows: DataFrame, entity: list[str], block: str, order: list[str], value: Column, name: str, inclusive: bool = True) -> DataFrame:
     """``name``: the last non-null ``value`` up to the row (before it, unless ``inclusive``); null if there is none."""
     local = Window.partitionBy(*entity, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     at = F.struct(*order)
-    valued = rows.withColumn("_v", value)
-    latest = F.max(F.when(F.col("_v").isNotNull(), F.struct(at.alias("at"), F.col("_v").alias("v"))))["v"]
-    valued = with_carry(valued, entity, block, latest, lambda c: F.last(c, ignorenulls=True), "_c")
-    return valued.withColumn(name, F.coalesce(F.last("_v", ignorenulls=True).over(local), F.col("_c"))).drop("_v", "_c")
+    valued = rows.withColumn("_seq_v", value)
+    latest = F.max(F.when(F.col("_seq_v").isNotNull(), F.struct(at.alias("at"), F.col("_seq_v").alias("v"))))["v"]
+    valued = with_carry(valued, entity, block, latest, lambda c: F.last(c, ignorenulls=True), "_seq_c")
+    return valued.withColumn(name, F.coalesce(F.last("_seq_v", ignorenulls=True).over(local), F.col("_seq_c"))).drop("_seq_v", "_seq_c")
