@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["sentences", "turns", "tokens", "packing"]
+MODULES = ["splitting", "sentences", "repetition", "turns", "tokens", "packing"]
 
 
 def _gather(what: str) -> dict:
