@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["splitting", "sentences", "repetition", "consensus", "turns", "tokens", "packing"]
+MODULES = ["splitting", "sentences", "repetition", "consensus", "turns", "tokens", "packing", "subjects"]
 
 
 def _gather(what: str) -> dict:
