@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Bracketed music and applause tags, in English and Portuguese.
 MARKER = r"(?i)\[(m[uúÚ]sica|music|aplausos|applause)\]"
+#: White space as Unicode has it, in a form that Java and RE2 share.
+WHITE = r"[\s\x{B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 LONG_FORM_S, MATURE_DAYS, WORDS_PER_MINUTE = 180, 182, 150
 # Phrases of a call to action.
 CTA_PHRASES = ["link in the description", "let me know in the comments", "let us know in the comments"]
@@ -15,7 +17,7 @@ CTA_PHRASES = ["link in the description", "let me know in the comments", "let us
 def tokens(text: Column | str) -> Column:
     """White-space separated tokens; null text has none."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.coalesce(c, F.lit("")), r"\s+"), lambda x: x != "")
+    return F.filter(F.split(F.coalesce(c, F.lit("")), WHITE), lambda x: x != "")
 
 
 def word_count(text: Column | str) -> Column:
@@ -25,7 +27,7 @@ def word_count(text: Column | str) -> Column:
 def strip_markers(text: Column | str, marker: str = MARKER) -> Column:
     """Without marker tags, white space made single."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.trim(F.regexp_replace(F.regexp_replace(c, marker, ""), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(c, marker, ""), WHITE, " "))
 
 
 def expected_words(duration_s: Column, wpm: int = WORDS_PER_MINUTE) -> Column:

@@ -14,13 +14,13 @@ class PoolTooSmall(ValueError):
     """A pool has fewer items than were asked for."""
 
 
-def eligible(df: DataFrame, by: str, duration: str, published: str, now: str, target: int) -> DataFrame:
+def eligible(df: DataFrame, by: str, duration: str, published: str, now: str, target: int, long_form: float = LONG_FORM_S) -> DataFrame:
     """Long-form rows of each pool that are mature; all long-form rows of a pool with fewer than ``target`` mature ones.
 
     An unknown date has age 0. ``now`` is a parameter, so the result doesn't depend on when it is made.
     """
     days = F.floor((F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp(F.col(published).cast("timestamp"))) / 86400)
-    long_form = df.where(F.coalesce(F.col(duration), F.lit(0.0)) >= LONG_FORM_S).withColumn("_mature", F.coalesce(days, F.lit(0)) >= MATURE_DAYS)
+    long_form = df.where(F.coalesce(F.col(duration), F.lit(0.0)) >= long_form).withColumn("_mature", F.coalesce(days, F.lit(0)) >= MATURE_DAYS)
     n = long_form.groupBy(F.col(by).alias("_by")).agg(F.count_if("_mature").alias("_n"))
     return long_form.join(n, F.col(by).eqNullSafe(F.col("_by"))).where(F.col("_mature") | (F.col("_n") < target)).drop("_by", "_n", "_mature")
 

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuscle.functions.boundary import signal_sql
-from corpuscle.functions.text import display_id, strip_markers, word_count
+from corpuscle.functions.text import WHITE, display_id, strip_markers, word_count
 from corpuscle.operators.merging import merge_open, signals
 from corpuscle.operators.segments import attach, chunk_offsets, gap_segments
 from corpuscle.operators.windows import CEILING, SENTENCES, SINGLE_LIMIT, WORDS, band, window_numbers
 from corpuscle.operators.windows import window_records as records
 from corpuscle.sources.tables import current_rows, table
 
-TOKENS = r"len(list_filter(regexp_split_to_array(coalesce({0}, ''), '\s+'), lambda x: x <> ''))"
+TOKENS = "len(list_filter(regexp_split_to_array(coalesce({0}, ''), '" + WHITE.replace("{", "{{").replace("}", "}}") + "'), lambda x: x <> ''))"
 CUR_F = "cf AS (SELECT * FROM fragments QUALIFY row_number() OVER (PARTITION BY video_id, frag_idx ORDER BY loaded_at DESC) = 1)"
 CUR_S = "cs AS (SELECT * FROM sentences QUALIFY row_number() OVER (PARTITION BY sent_id ORDER BY loaded_at DESC) = 1)"
 CUR_V = "cv AS (SELECT * FROM videos QUALIFY row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC) = 1)"
@@ -32,7 +32,7 @@ def _videos(spark: SparkSession, d: str) -> DataFrame:
     return current_rows(table(spark, d, "videos").select("id", "channel", "title", "duration", "view_count", "published_at", "source", "role", "loaded_at"), ["id"])
 
 
-_STRIP = r"trim(regexp_replace(regexp_replace({0}, '(?i)\[(m[uúÚ]sica|music|aplausos|applause)\]', '', 'g'), '\s+', ' ', 'g'))"
+_STRIP = r"trim(regexp_replace(regexp_replace({0}, '(?i)\[(m[uúÚ]sica|music|aplausos|applause)\]', '', 'g'), '" + WHITE.replace("{", "{{").replace("}", "}}") + "', ' ', 'g'))"
 
 
 def marker_strip(spark: SparkSession, d: str) -> DataFrame:
