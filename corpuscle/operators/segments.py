@@ -2,36 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuscle.functions.text import strip_markers
+from corpuscle.operators.sequence import last_known, running_sum
 
 
-def gap_segments(df: DataFrame, by: list[str], order: list[str], start: Column, duration: Column, text: Column, gap: float = 1.0) -> DataFrame:
+def gap_segments(df: DataFrame, by: list[str], order: list[str], start: Column, duration: Column, text: Column, gap: float = 1.0, block: Column | None = None) -> DataFrame:
     """by, ``segment`` (from 0), ``inicio_s``, ``texto``: fragments joined until a gap or a marker-only fragment.
 
     A segment begins at the first fragment with text, behind a marker-only fragment, and where start - previous end > ``gap``
     (strictly). Marker-only fragments move the previous end and give no text; null texts are marker-only, null durations 0.
+    ``block`` cuts long entities into parts of neighbouring fragments (it never falls in their order), each scanned by itself.
     """
-    w = Window.partitionBy(*by).orderBy(*order)
-    clean = strip_markers(text)
-    f = df.select(*by, *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], start.cast("double").alias("_s"), (start + F.coalesce(duration, F.lit(0.0))).cast("double").alias("_e"), F.coalesce(clean, F.lit("")).alias("_t"))
-    w = Window.partitionBy(*by).orderBy(*[f"_o{i}" for i in range(len(order))])
-    f = f.withColumn("_pe", F.lag("_e").over(w)).withColumn("_pt", F.lag("_t").over(w))
-    new = (F.col("_t") != "") & (F.col("_pt").isNull() | (F.col("_pt") == "") | (F.col("_s") - F.col("_pe") > gap))
-    f = f.withColumn("_seg", F.sum(new.cast("bigint")).over(w.rowsBetween(Window.unboundedPreceding, 0))).where("_t <> ''")
     o = [f"_o{i}" for i in range(len(order))]
-    out = f.groupBy(*by, (F.col("_seg") - 1).alias("segment")).agg(F.min_by("_s", F.struct(*o)).alias("inicio_s"), F.array_sort(F.collect_list(F.struct(*o, "_t"))).alias("_x"))
+    clean = strip_markers(text)
+    part = F.lit(0) if block is None else block
+    f = df.select(*by, *[F.col(c).alias(n) for c, n in zip(order, o)], part.cast("bigint").alias("_block"), start.cast("double").alias("_s"), (start + F.coalesce(duration, F.lit(0.0))).cast("double").alias("_e"), F.coalesce(clean, F.lit("")).alias("_t"))
+    f = last_known(f, by, "_block", o, F.struct("_e", (F.col("_t") == "").alias("blank")), "_p", inclusive=False)
+    new = (F.col("_t") != "") & (F.col("_p").isNull() | F.col("_p.blank") | (F.col("_s") - F.col("_p._e") > gap))
+    f = running_sum(f, by, "_block", o, new.cast("bigint"), "_seg").where("_t <> ''")
+    out = f.groupBy(*by, (F.col("_seg") - 1).alias("segment")).agg(F.min(F.struct(*o, "_s"))["_s"].alias("inicio_s"), F.array_sort(F.collect_list(F.struct(*o, "_t"))).alias("_x"))
     return out.select(*by, "segment", "inicio_s", F.array_join(F.transform("_x", lambda x: x["_t"]), " ").alias("texto"))
 
 
-def chunk_offsets(df: DataFrame, by: list[str], order: list[str], text: str) -> DataFrame:
-    """``df`` with the half-open span ``char_from``, ``char_to`` of each chunk in the text joined by single spaces."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    n = F.length(text).cast("bigint")
-    before = F.coalesce(F.sum(n + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("bigint")
-    return df.withColumn("char_from", before).withColumn("char_to", F.col("char_from") + n)
+def chunk_offsets(df: DataFrame, by: list[str], order: list[str], text: str, block: Column | None = None) -> DataFrame:
+    """``df`` with the half-open span ``char_from``, ``char_to`` of each chunk in the text joined by single spaces; ``block`` as above."""
+    part = F.lit(0) if block is None else block
+    size = F.coalesce(F.length(text), F.lit(0)).cast("bigint") + 1
+    out = running_sum(df.withColumn("_block", part.cast("bigint")), by, "_block", order, size, "_upto").drop("_block")
+    return out.withColumn("char_from", (F.col("_upto") - size).cast("bigint")).withColumn("char_to", (F.col("_upto") - 1).cast("bigint")).drop("_upto")
+
+
+#: Characters of a text that one scan of ``attach`` covers.
+SCAN_CHARS = 1_000_000
 
 
 def attach(points: DataFrame, chunks: DataFrame, by: list[str], at: str) -> DataFrame:
@@ -41,8 +46,8 @@ def attach(points: DataFrame, chunks: DataFrame, by: list[str], at: str) -> Data
     union gives it to every point. ``chunks`` has by, char_from and chunk.
     """
     cols = [c for c in points.columns if c not in by]
-    p = points.select(*by, F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("_chunk"), F.struct(*cols).alias("_row"))
+    p = points.select(*by, F.col(at).cast("bigint").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("_chunk"), F.struct(*cols).alias("_row"))
     c = chunks.select(*by, F.col("char_from").alias("_at"), F.lit(0).alias("_kind"), F.col("chunk").cast("bigint").alias("_chunk"), F.lit(None).cast(p.schema["_row"].dataType).alias("_row"))
-    w = Window.partitionBy(*by).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    got = p.unionByName(c).withColumn("chunk", F.last("_chunk", ignorenulls=True).over(w)).where("_kind = 1")
+    both = p.unionByName(c).withColumn("_block", F.floor(F.col("_at") / SCAN_CHARS).cast("bigint"))
+    got = last_known(both, by, "_block", ["_at", "_kind"], F.col("_chunk"), "chunk").where("_kind = 1")
     return got.select(*by, *[F.col(f"_row.{x}").alias(x) for x in cols], "chunk")

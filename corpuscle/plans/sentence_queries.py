@@ -35,18 +35,23 @@ def _videos(spark: SparkSession, d: str) -> DataFrame:
 _STRIP = r"trim(regexp_replace(regexp_replace({0}, '(?i)\[(m[uúÚ]sica|music|aplausos|applause)\]', '', 'g'), '" + WHITE.replace("{", "{{").replace("}", "}}") + "', ' ', 'g'))"
 
 
+#: A live session holds a large part of all fragments, so scans go by ten minutes of start; a null start comes first.
+def _ten_minutes() -> F.Column:
+    return F.coalesce(F.floor(F.col("start") / 600), F.lit(-(1 << 40)))
+
+
 def marker_strip(spark: SparkSession, d: str) -> DataFrame:
     return _fragments(spark, d).where("text is not null").select("video_id", "frag_idx", strip_markers("text").alias("text"))
 
 
 def gap_segments_q(spark: SparkSession, d: str) -> DataFrame:
-    out = gap_segments(_fragments(spark, d), ["video_id"], ["start", "frag_idx"], F.col("start"), F.col("duration"), F.col("text"))
+    out = gap_segments(_fragments(spark, d), ["video_id"], ["start", "frag_idx"], F.col("start"), F.col("duration"), F.col("text"), block=_ten_minutes())
     return out.withColumn("inicio_s", F.round("inicio_s", 6))
 
 
 def _chunks(spark: SparkSession, d: str) -> DataFrame:
     f = _fragments(spark, d).select("video_id", "start", "frag_idx", strip_markers(F.coalesce("text", F.lit(""))).alias("text")).where("text <> ''")
-    return chunk_offsets(f, ["video_id"], ["start", "frag_idx"], "text")
+    return chunk_offsets(f, ["video_id"], ["start", "frag_idx"], "text", block=_ten_minutes())
 
 
 def chunk_offsets_q(spark: SparkSession, d: str) -> DataFrame:
