@@ -190,9 +190,9 @@ def pieces(rows: DataFrame, item: str, max_words: int = MAX_WORDS, max_chars: in
 
 def _window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = current_rows(table(spark, sf_dir, "windows").select("window_id", "sent_ids", "text", "loaded_at"), ["window_id"])
-    named = windows.where("sent_ids is not null").select("window_id", F.explode(F.array_distinct("sent_ids")).alias("sent_id"))
+    named = windows.where("sent_ids is not null").select("window_id", F.explode_outer(F.array_distinct("sent_ids")).alias("sent_id"))
     rows = current_rows(table(spark, sf_dir, "sentences").select("sent_id", "idx", "text", "loaded_at"), ["sent_id"]).drop("loaded_at")
-    named = named.join(rows, "sent_id").withColumn("_k", F.row_number().over(Window.partitionBy("window_id").orderBy("idx", "sent_id")))
+    named = named.join(rows, "sent_id", "left").withColumn("_k", F.row_number().over(Window.partitionBy("window_id").orderBy("idx", "sent_id")))
     alone = windows.where("sent_ids is null").select("window_id", F.lit(1).alias("_k"), "text")
     return units(named.select("window_id", "_k", "text").unionByName(alone), "window_id", "_k", "text")
 

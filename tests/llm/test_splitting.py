@@ -66,3 +66,21 @@ def test_overlap_text_null_and_empty(spark):
     assert got[2, 0] == "" and got[3, 0] == ""
     assert got[1, 0].endswith("here.") and got[1, 1].startswith("Second b") and got[1, 1].endswith("stop.") and len(got) == 4
     assert pieces(df.limit(0), "id").count() == 0
+
+
+def test_windows_by_their_sentences(spark, tmp_path):
+    import datetime
+
+    from corpuscle.llm.splitting import p1_found, p1_pieces
+
+    t = [datetime.datetime(2024, 1, d) for d in (1, 2)]
+    long = "word " * 40
+    sentences = [("a", 0, long, t[1]), ("a", 0, "old " * 200, t[0]), ("b", 1, long, t[0]), ("c", 2, None, t[0]), ("d", 3, "short.", t[0])]
+    windows = [("two", ["b", "a"], None, t[0]), ("same", ["a", "a"], "w " * 90, t[0]), ("lost", ["x"], "w " * 90, t[0]), ("text", None, "w " * 90, t[0]), ("none", None, None, t[0]), ("no", [], "x", t[0]), ("few", ["c", "d", "x", None], None, t[0])]
+    spark.createDataFrame(sentences, "sent_id string, idx int, text string, loaded_at timestamp_ntz").write.parquet(str(tmp_path / "sentences.parquet"))
+    spark.createDataFrame(windows * 2, "window_id string, sent_ids array<string>, text string, loaded_at timestamp_ntz").write.parquet(str(tmp_path / "windows.parquet"))
+    assert {r.window_id for r in p1_found(spark, str(tmp_path)).collect()} == {"two", "text"}
+    got = {}
+    for r in p1_pieces(spark, str(tmp_path)).collect():
+        got.setdefault(r.window_id, []).append((r.piece, r.n_words))
+    assert {k: sorted(v) for k, v in got.items()} == {"two": [(0, 40), (1, 40)], "same": [(0, 40)], "lost": [(0, 0)], "text": [(0, 60), (1, 40)], "none": [(0, 0)], "no": [(0, 0)], "few": [(0, 1)]}
