@@ -131,15 +131,17 @@ def _ends(mark: str, word: str, closers: str, gap: bool, after: int, rest: str)
     return True
 
 
-def scan(text: str) -> tuple[list[int], list[tuple[int, int]], int, int, int]:
+def scan(text: str, alone: bool = False) -> tuple[list[int], list[tuple[int, int]], int, int, int]:
     """(next state by state, [(end, mask of states before)], tail end, tail mask of states, tail classes).
 
     Ends count code points from the beginning of ``text``. The tail is the last character of ``text`` that isn't white
     space; whether a sentence ends there depends on what follows in the next row: tail classes is a mask of the classes
-    (LOWER ... NOTHING) after which it does. Ends before the tail are in the list.
+    (LOWER ... NOTHING) after which it does. Ends before the tail are in the list. A text that stands ``alone`` is read
+    from the state OUT only; masks have one bit then.
     """
     size = len(text.rstrip())
-    state = IDENTITY[:]
+    state = [OUT] if alone else IDENTITY[:]
+    n_states = len(state)
     ends: dict[int, int] = {}
     tail = 0
     closed_to = 0
@@ -148,12 +150,12 @@ def scan(text: str) -> tuple[list[int], list[tuple[int, int]], int, int, int]:
         emit, nxt = EMIT[kind], NEXT[kind]
         if kind in (STATEMENT, BLANK):
             mask = 0
-            for s in range(N_STATES):
+            for s in range(n_states):
                 if emit[state[s]]:
                     mask |= 1 << s
             if mask and at < size:
                 ends[at] = ends.get(at, 0) | mask
-        for s in range(N_STATES):
+        for s in range(n_states):
             state[s] = nxt[state[s]]
 
     for m in EVENT.finditer(text):
@@ -255,7 +257,7 @@ def scan(text: str) -> tuple[list[int], list[tuple[int, int]], int, int, int]:
             elif c == "’" and i > 0 and text[i - 1] in ",.!?…":
                 event(CLOSE + SINGLE, i)
     outside = 0
-    for s in range(N_STATES):
+    for s in range(n_states):
         if state[s] == OUT:
             outside |= 1 << s
     return state, sorted((p, m) for p, m in ends.items()), size, outside, tail

@@ -9,6 +9,7 @@ topic proportions over its sentences.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -27,7 +28,7 @@ from corpuscle.sources.tables import table
 VOCABULARY, MIN_DOCS = 8_000, 3
 #: Labelled documents that topics start from: those least by hash of their id.
 LABELLED = 20_000
-OTHER_TOPICS, ROUNDS, INNER = 8, 4, 8
+OTHER_TOPICS, ROUNDS, INNER = 8, 4, 4
 ALPHA, ETA = 0.1, 0.05
 #: A term of TELLING_DOCS documents tells a subject if its topics have this share of it; a sentence's form is heard first if
 #: FORM_KNOWN documents have it.
@@ -44,18 +45,21 @@ FREQUENT = {
     "de": "der die das und in nicht ein eine ist war es wir zur im mit ohne bis den wie hier auf von immer",
 }
 LANGUAGES = [*FREQUENT, "ja", "zh", "hi", "th", "ar", "other"]
-_FREQUENT = {k: frozenset(v.split()) for k, v in FREQUENT.items()}
+_FREQUENT = {w: [k for k, v in FREQUENT.items() if w in v.split()] for w in " ".join(FREQUENT.values()).split()}
 
 _RUN = re.compile(r"[\u3040-\u30ff\u4e00-\u9fff]+|[\u0e00-\u0e7f]+|[\u0900-\u097f]+|[^\W\d_]+(?:['’-][^\W\d_]+)*")
 
 
+_SCRIPTS = {
+    "kana": re.compile(r"[\u3040-\u30ff]+"), "han": re.compile(r"[\u4e00-\u9fff]+"), "hi": re.compile(r"[\u0900-\u097f]+"),
+    "th": re.compile(r"[\u0e00-\u0e7f]+"), "ar": re.compile(r"[\u0600-\u06ff]+"), "latin": re.compile(r"[A-Za-z\u00c0-\u024f]+"),
+}
+
+
 def language(text: str) -> str:
     """The language of a text by script, in Latin letters by frequent words."""
-    count = dict.fromkeys(("kana", "han", "hi", "th", "ar", "latin"), 0)
-    for c in text[:: max(1, len(text) // 4_000)]:
-        if not c.isalpha():
-            continue
-        count["kana" if "\u3040" <= c <= "\u30ff" else "han" if "\u4e00" <= c <= "\u9fff" else "hi" if "\u0900" <= c <= "\u097f" else "th" if "\u0e00" <= c <= "\u0e7f" else "ar" if "\u0600" <= c <= "\u06ff" else "latin"] += 1
+    sample = text[:: max(1, len(text) // 4_000)]
+    count = {k: sum(map(len, p.findall(sample))) for k, p in _SCRIPTS.items()}
     if not any(count.values()):
         return "other"
     if count["kana"] + count["han"] >= count["latin"] and count["kana"] + count["han"] > 0:
@@ -63,8 +67,10 @@ def language(text: str) -> str:
     best = max(("hi", "th", "ar", "latin"), key=count.get)
     if best != "latin":
         return best
-    words = re.findall(r"[^\W\d_]+", text.lower())
-    hits = {k: sum(w in v for w in words) for k, v in _FREQUENT.items()}
+    hits = dict.fromkeys(FREQUENT, 0)
+    for w, n in Counter(re.findall(r"[^\W\d_]+", text.lower())).items():
+        for k in _FREQUENT.get(w, ()):
+            hits[k] += n
     best = max(hits, key=hits.get)
     return best if hits[best] else "other"
 
@@ -104,7 +110,7 @@ def sentences_of(text: str | None) -> list[str]:
     """Sentences of a text; headings and pieces without a letter are none."""
     if not text:
         return []
-    _, ends, size, _, _ = scan(text)
+    _, ends, size, _, _ = scan(text, alone=True)
     out, at = [], 0
     for cut in sorted({e for e, m in ends if m & 1} | {size}):
         piece = text[at:cut].strip()
@@ -126,7 +132,7 @@ def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 #: Term occurrences that the E-step holds at once.
-BATCH_TERMS = 200_000
+BATCH_TERMS = 50_000
 
 
 def _e_step(k: int, inner: int, alpha: float):
@@ -134,17 +140,21 @@ def _e_step(k: int, inner: int, alpha: float):
         """Adds the topic-term sums of documents, laid end to end, to ``sums``."""
         n = len(sizes)
         doc = np.repeat(np.arange(n), sizes)
-        b = np.ascontiguousarray(beta[:, flat])
-        theta = np.full((k, n), 1.0 / k)
+        # Terms by document are neighbours, so sums by document are sums of slices.
+        full = np.flatnonzero(sizes)
+        starts = (np.cumsum(sizes) - sizes)[full]
+        b = np.ascontiguousarray(beta[:, flat].T)
+        theta = np.full((n, k), 1.0 / k, np.float32)
         for r in range(inner + 1):
-            share = theta[:, doc] * b
-            share /= share.sum(0) + 1e-300
+            share = theta[doc] * b
+            share /= share.sum(1, keepdims=True) + 1e-30
             if r < inner:
-                theta = alpha + np.stack([np.bincount(doc, row, n) for row in share])
-                theta /= theta.sum(0)
-        own, at = np.unique(flat, return_inverse=True)
-        for j in range(k):
-            sums[j, own] += np.bincount(at, share[j], len(own))
+                theta[:] = alpha
+                theta[full] += np.add.reduceat(share, starts, axis=0)
+                theta /= theta.sum(1, keepdims=True)
+        order = np.argsort(flat, kind="stable")
+        own, at = np.unique(flat[order], return_index=True)
+        sums[:, own] += np.add.reduceat(share[order], at, axis=0).T
 
     return run
 
@@ -160,7 +170,7 @@ def _sums(shared, k: int, inner: int, alpha: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         beta = shared.value
-        total = np.zeros_like(beta)
+        total = np.zeros(beta.shape)
         for batch in batches:
             column = batch.column(0)
             flat, sizes = column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy())
@@ -234,7 +244,7 @@ def fit(prepared: DataFrame, labels: DataFrame, subjects: list[str], rounds: int
     lam = np.concatenate([ETA + first + 0.02 * counts, ETA + (1 - np.minimum(1, strong.sum(0, keepdims=True))) * counts / OTHER_TOPICS * rng.uniform(0.6, 1.4, (OTHER_TOPICS, v))])
     flat = coded.select(F.filter(F.flatten("_ids"), lambda x: x >= 0).alias("_flat"))
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(_beta(lam, block))
+        shared = spark.sparkContext.broadcast(_beta(lam, block).astype(np.float32))
         parts = flat.mapInArrow(_sums(shared, k, INNER, ALPHA), "topic int, sums binary")
         # As many rows as topics reach the driver, whatever the number of tasks.
         rows = parts.repartition(k, "topic").mapInPandas(_add, "topic int, sums binary").collect()
