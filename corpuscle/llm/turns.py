@@ -8,6 +8,7 @@ Words then follow the voice at hand, in order of start; a voice's words up to an
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -50,6 +51,8 @@ LABEL = re.compile(
     rf"(?P<open>[\[(])(?P<b>{NAME}(?:\s{NAME}){{0,3}})[\])](?P<bcolon>\s?:(?=\s|$))?|"
     rf"(?P<c>{NAME}(?:\s{NAME}){{0,3}})(?:\s\((?P<role>[^()]{{1,20}})\))?\s?[:：](?=\s|$))"
 )
+_NOTES = re.compile(r"[\[(<*【（♪♫]")
+_SIGNS = re.compile(r"[:：<\[(]")
 CHANGE = re.compile(r">>+\s*")
 WORD = re.compile(r"[^\W_]+", re.UNICODE)
 
@@ -117,8 +120,9 @@ class Cast:
 
 
 @lru_cache(maxsize=10_000)
-def cast_of(members: tuple[tuple[str, str, str, str], ...]) -> Cast:
-    return Cast(members)
+def cast_of(members: str | None) -> Cast:
+    """The cast written as a JSON list of (speaker_id, full_name, role, diar_label)."""
+    return Cast(tuple(tuple(x or "" for x in m) for m in json.loads(members)) if members else ())
 
 
 def stamp(text: str, start: float | None) -> tuple[str, int, bool] | None:
@@ -134,6 +138,8 @@ def stamp(text: str, start: float | None) -> tuple[str, int, bool] | None:
 
 def labels(text: str, cast: Cast) -> Iterator[tuple[str, int, int, str | None]]:
     """(layout, begin, end, speaker or None) of what looks like a label."""
+    if not _SIGNS.search(text):
+        return
     at = 0
     while m := LABEL.search(text, at):
         begin, end = m.span()
@@ -181,7 +187,8 @@ def clean(text: str) -> tuple[str, bool]:
         inner = WORD.findall(m[0])
         return " " if len(inner) <= 3 and not any(c.isdigit() for c in m[0]) else m[0]
 
-    text = NOTE.sub(note, text)
+    if _NOTES.search(text):
+        text = NOTE.sub(note, text)
     words = WORD.findall(text)
     if not words:
         return "", False
@@ -220,16 +227,12 @@ def units(text: str | None, start: float | None, cast: Cast, layouts: frozenset[
     return out
 
 
-def _members(cast) -> tuple:
-    return tuple(sorted((m["speaker_id"], m["full_name"] or "", m["role"] or "", m["diar_label"] or "") for m in cast)) if cast is not None else ()
-
-
 def _mine_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         seen, fits = Counter(), Counter()
         for text, start, cast in zip(pdf["text"], pdf["start"], pdf["cast"]):
             if text:
-                for layout, fit in mine(text, None if pd.isna(start) else start, cast_of(_members(cast))):
+                for layout, fit in mine(text, None if pd.isna(start) else start, cast_of(cast)):
                     seen[layout] += 1
                     fits[layout] += fit
         yield pd.DataFrame({"layout": list(seen), "n": list(seen.values()), "fit": [fits[k] for k in seen]}).astype({"layout": "object", "n": "int64", "fit": "int64"})
@@ -237,7 +240,7 @@ def _mine_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _prepared(fragments: DataFrame, speakers: DataFrame) -> DataFrame:
     rows = current_rows(fragments.select("video_id", "frag_idx", "channel", F.col("start").cast("double").alias("start"), F.col("text").cast("string").alias("text"), "loaded_at"), ["video_id", "frag_idx"])
-    cast = speakers.where("speaker_id is not null").groupBy(F.col("channel").alias("_ch")).agg(F.array_sort(F.collect_set(F.struct("speaker_id", "full_name", "role", "diar_label"))).alias("cast"))
+    cast = speakers.where("speaker_id is not null").groupBy(F.col("channel").alias("_ch")).agg(F.to_json(F.array_sort(F.collect_set(F.array("speaker_id", "full_name", "role", "diar_label")))).alias("cast"))
     return rows.drop("loaded_at").join(cast, F.col("channel").eqNullSafe(F.col("_ch")), "left").drop("_ch")
 
 
@@ -265,7 +268,7 @@ def spoken(fragments: DataFrame, speakers: DataFrame) -> DataFrame:
             out = []
             for video, frag, start, text, cast in zip(pdf["video_id"], pdf["frag_idx"], pdf["start"], pdf["text"], pdf["cast"]):
                 at = None if pd.isna(start) else start
-                who = cast_of(_members(cast))
+                who = cast_of(cast)
                 for k, (name, change, words, some) in enumerate(units(text, at, who, layouts)):
                     out.append((video, frag, at, k, name, int(change), words if some else None, who.narrator))
             yield pd.DataFrame(out, columns=["video_id", "frag_idx", "start", "unit", "named", "change", "text", "narrator"])
