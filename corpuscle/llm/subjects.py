@@ -16,6 +16,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,13 +123,25 @@ def sentences_of(text: str | None) -> list[str]:
     return out
 
 
-def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        sents = []
-        for t in pdf["_text"]:
-            lang = language(t) if t else "other"
-            sents.append([terms(s, lang) for s in sentences_of(t)])
-        yield pd.DataFrame({"_id": pdf["_id"], "_sents": sents})
+def _offsets(sizes: list[int]) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), pa.int32())
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1_000):
+            part = batch.slice(at, 1_000)
+            flat: list[str] = []
+            per_sentence, per_doc = [], []
+            for text in part.column(1).to_pylist():
+                lang = language(text) if text else "other"
+                found = [terms(s, lang) for s in sentences_of(text)]
+                per_doc.append(len(found))
+                for x in found:
+                    per_sentence.append(len(x))
+                    flat += x
+            sents = pa.ListArray.from_arrays(_offsets(per_sentence), pa.array(flat, pa.string()))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(_offsets(per_doc), sents)], names=["_id", "_sents"])
 
 
 #: Term occurrences that the E-step holds at once.
@@ -275,14 +288,19 @@ def fit(prepared: DataFrame, labels: DataFrame, subjects: list[str], rounds: int
 
 
 def _coded(prepared: DataFrame, index: dict[str, int]) -> DataFrame:
-    shared = prepared.sparkSession.sparkContext.broadcast(index)
+    shared = prepared.sparkSession.sparkContext.broadcast(list(index))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        find = shared.value.get
-        for pdf in batches:
-            yield pd.DataFrame({"_id": pdf["_id"], "_ids": [[[find(s[0], -1), *[i for t in s[1:] if (i := find(t)) is not None]] for s in d] for d in pdf["_sents"]]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(shared.value, pa.string())
+        for batch in batches:
+            docs = batch.column(1)
+            sents = docs.flatten()
+            ids = pc.fill_null(pc.index_in(sents.flatten().cast(pa.string()), value_set=known), -1)
+            base, low = docs.offsets.to_numpy(), sents.offsets.to_numpy()
+            inner = pa.ListArray.from_arrays(pa.array(low - low[0], pa.int32()), ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(base - base[0], pa.int32()), inner)], names=["_id", "_ids"])
 
-    return settle(prepared.mapInPandas(run, f"_id {dict(prepared.dtypes)['_id']}, _ids array<array<int>>"))
+    return settle(prepared.mapInArrow(run, f"_id {dict(prepared.dtypes)['_id']}, _ids array<array<int>>"))
 
 
 def shares_of(sents: list, tells: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -292,15 +310,15 @@ def shares_of(sents: list, tells: np.ndarray, counts: np.ndarray) -> np.ndarray:
         form = s[0]
         if form >= 0 and counts[form] >= FORM_KNOWN:
             about += tells[:, form] >= FORM_TELLS
-        elif len(s) > 1:
-            about += tells[:, s[1:]].max(1) >= TELLS
+        elif len(ids := [i for i in s[1:] if i >= 0]):
+            about += tells[:, ids].max(1) >= TELLS
     return about / max(1, len(sents))
 
 
 def prepare(df: DataFrame, key: str, text: str) -> DataFrame:
     """_id, _sents: terms by sentence."""
     kind = dict(df.dtypes)[key]
-    return settle(df.select(F.col(key).alias("_id"), F.col(text).alias("_text")).mapInPandas(_split, f"_id {kind}, _sents array<array<string>>"))
+    return settle(df.select(F.col(key).alias("_id"), F.col(text).alias("_text")).mapInArrow(_split, f"_id {kind}, _sents array<array<string>>"))
 
 
 def proportions(df: DataFrame, labels: DataFrame, subjects: list[str], key: str = "doc_id", text: str = "text", **how: int) -> DataFrame:
