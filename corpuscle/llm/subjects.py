@@ -25,8 +25,8 @@ from corpuscle.ontology import normal
 from corpuscle.session import settle
 from corpuscle.sources.tables import table
 
-#: Terms of the vocabulary of each language: those in most documents, in at least MIN_DOCS.
-VOCABULARY, MIN_DOCS = 8_000, 3
+#: Every term of at least so many documents is in the vocabulary, however many terms that are.
+MIN_DOCS = 3
 #: Labelled documents that topics start from: those least by hash of their id.
 LABELLED = 20_000
 OTHER_TOPICS, ROUNDS, INNER = 8, 4, 4
@@ -218,7 +218,7 @@ class Topics:
         self.index, self.lam, self.counts, self.subject_of, self.tells = index, lam, counts, subject_of, tells
 
 
-def fit(prepared: DataFrame, labels: DataFrame, subjects: list[str], rounds: int = ROUNDS, labelled: int = LABELLED, vocabulary: int = VOCABULARY) -> tuple[Topics, DataFrame]:
+def fit(prepared: DataFrame, labels: DataFrame, subjects: list[str], rounds: int = ROUNDS, labelled: int = LABELLED) -> tuple[Topics, DataFrame]:
     """LDA over all of ``prepared`` (_id, _sents), started from at most ``labelled`` rows of ``labels`` (_id, subject).
 
     Languages have their own terms, so each topic is one distribution per language. Returns the model and ``prepared``
@@ -226,12 +226,8 @@ def fit(prepared: DataFrame, labels: DataFrame, subjects: list[str], rounds: int
     """
     spark = prepared.sparkSession
     once = F.array_distinct(F.flatten("_sents"))
-    counted = settle(prepared.select(F.explode(once).alias("term")).groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS))
-    best = None
-    for i in range(len(LANGUAGES)):
-        part = counted.where(F.col("term").startswith(chr(2 + i))).orderBy(F.desc("n"), "term").limit(vocabulary)
-        best = part if best is None else best.unionByName(part)
-    words = best.toPandas()
+    counted = prepared.select(F.explode(once).alias("term")).groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
+    words = counted.orderBy("term").toPandas()
     index = {t: i for i, t in enumerate(words["term"])}
     block = np.fromiter((ord(t[0]) - 2 for t in words["term"]), np.int64, len(words)) if len(words) else np.zeros(1, np.int64)
     k, n, v = len(subjects) + OTHER_TOPICS, len(subjects), max(1, len(index))

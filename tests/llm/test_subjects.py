@@ -1,6 +1,6 @@
 import random
 
-from corpuscle.llm.subjects import language, proportions, sentences_of, terms
+from corpuscle.llm.subjects import MIN_DOCS, fit, language, proportions, sentences_of, terms
 
 WORDS = {"law": ["verdict hearing", "penal code", "appeal court"], "sport": ["goal keeper", "relay team", "penalty kick"], "science": ["enzyme count", "photon field", "fossil layer"]}
 FRAMES = ["The {} is older than it looks.", "Nobody asked about the {} again.", "We come back to the {} soon."]
@@ -46,3 +46,13 @@ def test_language_sentences_terms():
     assert [language(t) for t in ["the end of it", "não é o que foi", "das ist nicht der Fall", "これは本です", "这只是开始", "यह है", "ครับ", "في عام", "12"]] == ["en", "pt", "de", "ja", "zh", "hi", "th", "ar", "other"]
     assert sentences_of("## part 1\nOne here. Two. ½") == ["One here.", "Two."]
     assert terms("At Kovon 12 it was.", "en")[0] == terms("00:13 At Naro 7 it was", "en")[0]
+
+
+def test_every_term_of_enough_documents_is_kept(spark):
+    known = [f"\x02w{i}" for i in range(9_000)]
+    docs = [(i, [known]) for i in range(MIN_DOCS)] + [(MIN_DOCS + i, [["\x02rare", *known[:2]]]) for i in range(MIN_DOCS - 1)]
+    prepared = spark.createDataFrame(docs, "_id bigint, _sents array<array<string>>")
+    model, coded = fit(prepared, spark.createDataFrame([(0, "law")], "_id bigint, subject string"), ["law"], rounds=1)
+    assert set(model.index) == set(known)
+    ids = {r._id: r._ids[0] for r in coded.collect()}
+    assert all(-1 not in ids[i] for i in range(MIN_DOCS)) and all(ids[MIN_DOCS + i][0] == -1 for i in range(MIN_DOCS - 1))
