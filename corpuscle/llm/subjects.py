@@ -29,8 +29,10 @@ from corpuscle.sources.tables import table
 MIN_DOCS = 3
 #: Labelled documents that topics start from: those least by hash of their id.
 LABELLED = 20_000
-OTHER_TOPICS, ROUNDS, INNER = 8, 4, 4
+OTHER_TOPICS, ROUNDS = 8, 4
 ALPHA, ETA = 0.1, 0.05
+#: A document's topic proportions have settled when a step moves none of them by this much.
+SETTLED = 1e-3
 #: A term of TELLING_DOCS documents tells a subject if its topics have this share of it; a sentence's form is heard first if
 #: FORM_KNOWN documents have it.
 TELLS, TELLING_DOCS, FORM_TELLS, FORM_KNOWN = 0.6, 5, 0.5, 12
@@ -148,7 +150,7 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 BATCH_TERMS = 50_000
 
 
-def _e_step(k: int, inner: int, alpha: float):
+def _e_step(k: int, alpha: float):
     def run(flat: np.ndarray, sizes: np.ndarray, beta: np.ndarray, sums: np.ndarray) -> None:
         """Adds the topic-term sums of documents, laid end to end, to ``sums``."""
         n = len(sizes)
@@ -158,13 +160,24 @@ def _e_step(k: int, inner: int, alpha: float):
         starts = (np.cumsum(sizes) - sizes)[full]
         b = np.ascontiguousarray(beta[:, flat].T)
         theta = np.full((n, k), 1.0 / k, np.float32)
-        for r in range(inner + 1):
+
+        def shares(doc: np.ndarray, b: np.ndarray) -> np.ndarray:
             share = theta[doc] * b
             share /= share.sum(1, keepdims=True) + 1e-30
-            if r < inner:
-                theta[:] = alpha
-                theta[full] += np.add.reduceat(share, starts, axis=0)
-                theta /= theta.sum(1, keepdims=True)
+            return share
+
+        # Each step raises the likelihood, so steps grow small; documents that have settled drop out.
+        live, own_doc, own_b = full, doc, b
+        while len(live):
+            new = alpha + np.add.reduceat(shares(own_doc, own_b), starts, axis=0)
+            new /= new.sum(1, keepdims=True)
+            moves = np.abs(new - theta[live]).max(1) >= SETTLED
+            theta[live] = new
+            if not moves.all():
+                kept = np.repeat(moves, sizes[live])
+                live, own_doc, own_b = live[moves], own_doc[kept], own_b[kept]
+                starts = np.cumsum(sizes[live]) - sizes[live]
+        share = shares(doc, b)
         order = np.argsort(flat, kind="stable")
         own, at = np.unique(flat[order], return_index=True)
         sums[:, own] += np.add.reduceat(share[order], at, axis=0).T
@@ -178,8 +191,8 @@ def _beta(lam: np.ndarray, block: np.ndarray) -> np.ndarray:
     return lam / np.maximum(per[:, block], 1e-300)
 
 
-def _sums(shared, k: int, inner: int, alpha: float):
-    step = _e_step(k, inner, alpha)
+def _sums(shared, k: int, alpha: float):
+    step = _e_step(k, alpha)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         beta = shared.value
@@ -254,7 +267,7 @@ def fit(prepared: DataFrame, labels: DataFrame, subjects: list[str], rounds: int
     flat = coded.select(F.filter(F.flatten("_ids"), lambda x: x >= 0).alias("_flat"))
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(_beta(lam, block).astype(np.float32))
-        parts = flat.mapInArrow(_sums(shared, k, INNER, ALPHA), "topic int, sums binary")
+        parts = flat.mapInArrow(_sums(shared, k, ALPHA), "topic int, sums binary")
         # As many rows as topics reach the driver, whatever the number of tasks.
         rows = parts.repartition(k, "topic").mapInPandas(_add, "topic int, sums binary").collect()
         lam = np.full((k, v), ETA)

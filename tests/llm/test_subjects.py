@@ -1,6 +1,9 @@
 import random
 
-from corpuscle.llm.subjects import MIN_DOCS, fit, language, proportions, sentences_of, terms
+import numpy as np
+import pyarrow as pa
+
+from corpuscle.llm.subjects import ALPHA, MIN_DOCS, _sums, fit, language, proportions, sentences_of, terms
 
 WORDS = {"law": ["verdict hearing", "penal code", "appeal court"], "sport": ["goal keeper", "relay team", "penalty kick"], "science": ["enzyme count", "photon field", "fossil layer"]}
 FRAMES = ["The {} is older than it looks.", "Nobody asked about the {} again.", "We come back to the {} soon."]
@@ -56,3 +59,27 @@ def test_every_term_of_enough_documents_is_kept(spark):
     assert set(model.index) == set(known)
     ids = {r._id: r._ids[0] for r in coded.collect()}
     assert all(-1 not in ids[i] for i in range(MIN_DOCS)) and all(ids[MIN_DOCS + i][0] == -1 for i in range(MIN_DOCS - 1))
+
+
+def test_proportions_settle_before_sums_are_taken():
+    rng = np.random.default_rng(3)
+    k, v = 4, 60
+    beta = rng.dirichlet(np.ones(v), k).astype(np.float32)
+    docs = [rng.integers(0, v, n).tolist() for n in (5, 400, 30, 0, 120)]
+    want = np.zeros((k, v))
+    for d in docs:
+        theta = np.full(k, 1.0 / k)
+        for _ in range(500 if d else 0):
+            share = theta[:, None] * beta[:, d]
+            share /= share.sum(0)
+            theta = (ALPHA + share.sum(1)) / (k * ALPHA + len(d))
+        if d:
+            np.add.at(want.T, d, (theta[:, None] * beta[:, d] / (theta @ beta[:, d])).T)
+
+    class Shared:
+        value = beta
+
+    batch = pa.RecordBatch.from_arrays([pa.array(docs, pa.list_(pa.int32()))], names=["_flat"])
+    (out,) = _sums(Shared, k, ALPHA)(iter([batch]))
+    got = np.stack([np.frombuffer(x, np.float32) for x in out.column(1).to_pylist()])
+    assert np.abs(got.sum(1) - want.sum(1)).max() < 0.01 * want.sum()
