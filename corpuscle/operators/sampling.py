@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,11 +53,27 @@ def quota_sample(df: DataFrame, owner: str, key: str, n: int, seed: int) -> Data
     return base.unionByName(rest).drop("_h", "_r")
 
 
-def seeded_sample(ids: list[str], k: int, seed: int) -> list[str]:
-    """Python's own draw, for parity with its random module; ids are few (one channel's videos)."""
+def seeded_sample(ids: Sequence, k: int, seed: int) -> list:
+    """Python's own draw, for parity with its random module."""
     return random.Random(seed).sample(ids, k)
 
 
+def seeded_draw(df: DataFrame, by: str, key: str, k: int, seed: int) -> DataFrame:
+    """by, key, ``rank`` (from 0): ``seeded_sample`` of the sorted keys of each group; smaller groups whole.
+
+    Python's draw depends on the number of keys only, so places are drawn from the sizes and no group's keys are gathered.
+    """
+    placed = df.select(by, key, (F.row_number().over(Window.partitionBy(by).orderBy(key)) - 1).cast("bigint").alias("_i"))
+
+    def places(batches):
+        for pdf in batches:
+            drawn = [(g, i, r) for g, n in zip(pdf["_g"], pdf["_n"]) for r, i in enumerate(seeded_sample(range(n), min(k, n), seed))]
+            yield pd.DataFrame(drawn, columns=["_g", "_p", "rank"])
+
+    drawn = df.groupBy(F.col(by).alias("_g")).agg(F.count("*").alias("_n")).mapInPandas(places, f"_g {dict(df.dtypes)[by]}, _p bigint, rank int")
+    return placed.join(drawn, F.col(by).eqNullSafe(F.col("_g")) & (F.col("_i") == F.col("_p"))).select(by, key, "rank")
+
+
 def holdout(pool: list[str], taken: set[str], size: int, least: int, seed: int) -> list[str]:
     """``size`` (down to ``least``) of the pool that aren't taken; none where both are 0 or less."""
     if size <= 0 and least <= 0:

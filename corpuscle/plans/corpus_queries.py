@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuscle.functions.text import CTA_PHRASES, contains_any, expected_words, reading_ease, syllables, word_count
 from corpuscle.operators.gates import GATES, registry, report
-from corpuscle.operators.sampling import eligible, hash_order, holdout, quota_sample, top_k
+from corpuscle.operators.sampling import eligible, hash_order, quota_sample, seeded_draw, top_k
 from corpuscle.plans.sentence_queries import CUR_V, CUR_W, TOKENS, _videos
 from corpuscle.sources.tables import current_rows, table
 
@@ -55,10 +55,9 @@ def holdout_hash_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def holdout_seeded(spark: SparkSession, d: str) -> DataFrame:
-    """The draw of Python's own generator for one channel's pool, which is small by definition."""
-    pool = [r.id for r in _videos(spark, d).where("channel = 'lanternwell'").select("id").orderBy("id").limit(100_000).collect()]
-    picked = holdout(pool, set(pool[:TOP]), KEPT, 0, SEED)
-    return spark.createDataFrame([(x, i) for i, x in enumerate(picked)], "id string, rank int")
+    """Per channel, three videos that weren't selected, by the draw of Python's own generator."""
+    rest = _videos(spark, d).join(eligible_pool_topk(spark, d).select("id"), "id", "left_anti")
+    return seeded_draw(rest, "channel", "id", KEPT, SEED)
 
 
 def quota_sample_q(spark: SparkSession, d: str) -> DataFrame:

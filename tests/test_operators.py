@@ -13,6 +13,7 @@ from corpuscle.operators.merging import merge_open, signals
 from corpuscle.operators.sampling import PoolTooSmall, anchored_draw, eligible, holdout, quota_sample, top_k
 from corpuscle.operators.segments import attach, chunk_offsets, gap_segments
 from corpuscle.operators.windows import window_numbers
+from corpuscle.plans.corpus_queries import KEPT, SEED, eligible_pool_topk, holdout_seeded
 from corpuscle.sources.artifacts import caption_fragments, envelope, first_source, merge_worksheet, raw_chunks, read_listing, read_manifest, read_raw, sample_report, worksheet, write_manifest
 from corpuscle.sources.tables import current_rows
 
@@ -191,3 +192,12 @@ def test_artifacts(spark, tmp_path):
     both, lost = merge_worksheet(b, spark.createDataFrame([("d", "w"), ("q", "z")], "display_id string, window_id string"))
     assert both.first().window_id == "w" and [tuple(r) for r in lost.collect()] == [("q", "not in worksheet")]
     assert "a\\|b" in sample_report(spark.createDataFrame([("a|b",)], "t string"), ["t"])
+
+
+def test_seeded_holdout_of_every_channel(spark, tmp_path):
+    old = datetime.datetime(2020, 1, 1)
+    rows = [(f"{c}{i:03}", c, "t", 30.0 + 10 * (i % 7), i * 37 % 101, old, "s", "profile", old) for c, n in (("lanternwell", 30), ("b", 200), ("c", 6), ("d", 1), (None, 9)) for i in range(n)]
+    spark.createDataFrame(rows, "id string, channel string, title string, duration double, view_count bigint, published_at timestamp_ntz, source string, role string, loaded_at timestamp_ntz").write.parquet(str(tmp_path / "videos.parquet"))
+    taken = {r.id for r in eligible_pool_topk(spark, str(tmp_path)).collect()}
+    want = {(c, x, i) for c in ("lanternwell", "b", "c", "d", None) for i, x in enumerate(holdout(sorted(r[0] for r in rows if r[1] == c), taken, KEPT, 0, SEED))}
+    assert {(r.channel, r.id, r["rank"]) for r in holdout_seeded(spark, str(tmp_path)).collect()} == want
