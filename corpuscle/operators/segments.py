@@ -35,9 +35,28 @@ def chunk_offsets(df: DataFrame, by: list[str], order: list[str], text: str, blo
     return out.withColumn("char_from", (F.col("_upto") - size).cast("bigint")).withColumn("char_to", (F.col("_upto") - 1).cast("bigint")).drop("_upto")
 
 
-#: Characters of a text that one scan of ``attach`` covers.
+#: Characters of a text that one scan of ``attach`` or ``sentence_spans`` covers.
 SCAN_CHARS = 1_000_000
 
+# Closing marks, which end a sentence before a space (those of scripts without spaces anywhere), and what may follow them.
+_CLOSES = r"(?:[.!?…।॥؟۔]+[\"'”’»)\]]*(?=\s|$)|[。！？]+[」』”’）]*)"
+
+
+def sentence_spans(chunks: DataFrame, by: list[str], text: str) -> DataFrame:
+    """by, ``idx`` (from 0), ``char_from``, ``char_to``: the sentences of the text joined by single spaces, cut at closing marks.
+
+    ``chunks`` has by, char_from and the text, without outer and with single white space. No mark runs over the end of a chunk, so
+    each chunk is cut by itself; a sentence is a run of pieces up to a closed one, whatever stands behind the last is one too.
+    """
+    cut = F.regexp_extract_all(F.col(text), F.lit(rf" ?(?=\S).*?(?:{_CLOSES}|$)"), F.lit(0))
+    pieces = chunks.select(*by, F.col("char_from").alias("_base"), cut.alias("_p")).select(*by, "_base", "_p", F.posexplode("_p").alias("_k", "_t"))
+    before = F.aggregate(F.slice("_p", F.lit(1), F.col("_k")), F.lit(0), lambda n, x: n + F.length(x))
+    at = (F.col("_base") + before).cast("bigint")
+    closed = F.col("_t").rlike(_CLOSES + "$").cast("bigint")
+    rows = pieces.select(*by, (at + F.when(F.col("_t").startswith(" "), 1).otherwise(0)).alias("_from"), (at + F.length("_t")).alias("_to"), closed.alias("_closed"))
+    rows = running_sum(rows.withColumn("_block", F.floor(F.col("_from") / SCAN_CHARS).cast("bigint")), by, "_block", ["_from"], F.col("_closed"), "_n")
+    return rows.groupBy(*by, (F.col("_n") - F.col("_closed")).alias("idx")).agg(F.min("_from").alias("char_from"), F.max("_to").alias("char_to"))
+
 
 def attach(points: DataFrame, chunks: DataFrame, by: list[str], at: str) -> DataFrame:
     """``points`` with ``chunk``, the order of the chunk whose span holds ``at``, the last chunk behind all spans.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpuscle.functions.boundary import signal_sql
 from corpuscle.functions.text import WHITE, display_id, strip_markers, word_count
 from corpuscle.operators.merging import merge_open, signals
-from corpuscle.operators.segments import attach, chunk_offsets, gap_segments
+from corpuscle.operators.segments import attach, chunk_offsets, gap_segments, sentence_spans
 from corpuscle.operators.windows import CEILING, SENTENCES, SINGLE_LIMIT, WORDS, band, window_numbers
 from corpuscle.operators.windows import window_records as records
 from corpuscle.sources.tables import current_rows, table
@@ -59,13 +59,25 @@ def chunk_offsets_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sentence_time_attach(spark: SparkSession, d: str) -> DataFrame:
-    """Where every 100th character of a video's text was said."""
+    """Where every 100th character of a video's text was said: attachment alone, in a form SQL shares; sentence_times is the whole job."""
     chunks = _chunks(spark, d)
     points = chunks.groupBy("video_id").agg(F.max("char_to").alias("n")).select("video_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n"), F.lit(100).cast("bigint"))).alias("pos"))
     got = attach(points, chunks.select("video_id", "char_from", F.col("frag_idx").alias("chunk")), ["video_id"], "pos")
     return got.select("video_id", "pos", "chunk")
 
 
+def sentence_times(spark: SparkSession, d: str) -> DataFrame:
+    """Every sentence of a video's text with its span, and the time of the fragments that hold its first and last character."""
+    chunks = _chunks(spark, d)
+    spans = sentence_spans(chunks, ["video_id"], "text")
+    ends = spans.select("video_id", "idx", "char_from", "char_to", F.explode(F.array(F.struct(F.lit(0).alias("_end"), F.col("char_from").alias("pos")), F.struct(F.lit(1).alias("_end"), (F.col("char_to") - 1).alias("pos")))).alias("_x"))
+    points = ends.select("video_id", "idx", "char_from", "char_to", "_x.*")
+    got = attach(points, chunks.select("video_id", "char_from", F.col("frag_idx").alias("chunk")), ["video_id"], "pos")
+    said = _fragments(spark, d).select(F.col("video_id").alias("_v"), F.col("frag_idx").cast("bigint").alias("_c"), "start", (F.col("start") + F.coalesce("duration", F.lit(0.0))).alias("_until"))
+    timed = got.join(said, F.col("video_id").eqNullSafe(F.col("_v")) & F.col("chunk").eqNullSafe(F.col("_c")))
+    return timed.groupBy("video_id", "idx", "char_from", "char_to").agg(F.max(F.when(F.col("_end") == 0, F.col("start"))).alias("start_s"), F.max(F.when(F.col("_end") == 1, F.col("_until"))).alias("end_s"))
+
+
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
     return _sentences(spark, d).withColumn("next_text", F.lead("text").over(Window.partitionBy("video_id").orderBy("idx", "sent_id")))
 
@@ -153,7 +165,7 @@ def context_bundles(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "marker_strip": marker_strip, "gap_segments": gap_segments_q, "chunk_offsets": chunk_offsets_q, "sentence_time_attach": sentence_time_attach, "boundary_signals": boundary_signals, "merged_sentences": merged_sentences,
+    "marker_strip": marker_strip, "gap_segments": gap_segments_q, "chunk_offsets": chunk_offsets_q, "sentence_time_attach": sentence_time_attach, "sentence_times": sentence_times, "boundary_signals": boundary_signals, "merged_sentences": merged_sentences,
     "windows": windows_q, "window_gate_parity": window_gate_parity, "window_gate_residual": window_gate_residual, "window_gate_ratio": window_gate_ratio, "window_gate_band": window_gate_band, "window_gate_verdict": window_gate_verdict, "context_bundles": context_bundles,
 }
 

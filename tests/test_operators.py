@@ -2,6 +2,7 @@ import datetime
 import itertools
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from corpuscle.operators.sampling import PoolTooSmall, anchored_draw, eligible,
 from corpuscle.operators.segments import attach, chunk_offsets, gap_segments
 from corpuscle.operators.windows import window_numbers
 from corpuscle.plans.corpus_queries import KEPT, SEED, eligible_pool_topk, holdout_seeded
+from corpuscle.plans.sentence_queries import sentence_times
 from corpuscle.sources.artifacts import caption_fragments, envelope, first_source, merge_worksheet, raw_chunks, read_listing, read_manifest, read_raw, sample_report, worksheet, write_manifest
 from corpuscle.sources.tables import current_rows
 
@@ -201,3 +203,39 @@ def test_seeded_holdout_of_every_channel(spark, tmp_path):
     taken = {r.id for r in eligible_pool_topk(spark, str(tmp_path)).collect()}
     want = {(c, x, i) for c in ("lanternwell", "b", "c", "d", None) for i, x in enumerate(holdout(sorted(r[0] for r in rows if r[1] == c), taken, KEPT, 0, SEED))}
     assert {(r.channel, r.id, r["rank"]) for r in holdout_seeded(spark, str(tmp_path)).collect()} == want
+
+
+def _brute_sentences(frags):
+    """The reference's way: the joined text cut into sentences, each attached by a search of all spans."""
+    text, spans = "", []
+    for start, dur, t in frags:
+        text += " " if spans else ""
+        spans.append((len(text), len(text) + len(t), start, start + (dur or 0.0)))
+        text += t
+    cuts = [m.end() for m in re.finditer(r"""[.!?…।॥؟۔]+["'”’»)\]]*(?=\s|$)|[。！？]+[」』”’）]*""", text)]
+    out, at = [], 0
+    for cut in [*cuts, len(text)]:
+        piece = text[at:cut]
+        if piece.strip():
+            a, b = at + len(piece) - len(piece.lstrip()), at + len(piece.rstrip())
+            out.append((len(out), a, b, next(s for x, y, s, _ in spans if x <= a < y), next(e for x, y, _, e in spans if x <= b - 1 < y)))
+        at = cut
+    return out
+
+
+def test_sentence_times_against_brute_force(spark, tmp_path):
+    rng, at = random.Random(5), datetime.datetime(2025, 1, 1)
+    bits = ["Hello", "it was.", "Why?!", 'he said "no."', "4.7.0 of", "本です。次は「何？」", "क्या।", "نعم؟", "end...", "a longer run of words", "🙂 ok.", "."]
+    rows, want = [], {}
+    for v in ("a", "b", "c", "d"):
+        frags = [(i * 1.5, rng.choice([None, 1.0, 2.25]), " ".join(rng.choice(bits) for _ in range(rng.randint(1, 4))) if rng.random() > 0.15 else "[Music]") for i in range(40 if v != "d" else 1)]
+        # Arrival and speech are in different order.
+        order = rng.sample(range(len(frags)), len(frags))
+        rows += [(v, order[i], s, dur, t.replace(" ", "  "), at) for i, (s, dur, t) in enumerate(frags)]
+        want[v] = _brute_sentences([f for f in frags if f[2] != "[Music]"])
+    rows += [("e", 0, 0.0, 1.0, None, at), ("e", 1, 1.0, 1.0, " ", at)]
+    spark.createDataFrame(rows, "video_id string, frag_idx int, start double, duration double, text string, loaded_at timestamp_ntz").write.parquet(str(tmp_path / "fragments.parquet"))
+    got = {}
+    for r in sentence_times(spark, str(tmp_path)).orderBy("video_id", "idx").collect():
+        got.setdefault(r.video_id, []).append((r.idx, r.char_from, r.char_to, r.start_s, r.end_s))
+    assert got == {v: x for v, x in want.items() if x}
