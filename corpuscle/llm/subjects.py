@@ -61,8 +61,7 @@ _SCRIPTS = {
 
 def language(text: str) -> str:
     """The language of a text by script, in Latin letters by frequent words."""
-    sample = text[:: max(1, len(text) // 4_000)]
-    count = {k: sum(map(len, p.findall(sample))) for k, p in _SCRIPTS.items()}
+    count = {k: sum(map(len, p.findall(text))) for k, p in _SCRIPTS.items()}
     if not any(count.values()):
         return "other"
     if count["kana"] + count["han"] >= count["latin"] and count["kana"] + count["han"] > 0:

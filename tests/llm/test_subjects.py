@@ -83,3 +83,10 @@ def test_proportions_settle_before_sums_are_taken():
     (out,) = _sums(Shared, k, ALPHA)(iter([batch]))
     got = np.stack([np.frombuffer(x, np.float32) for x in out.column(1).to_pylist()])
     assert np.abs(got.sum(1) - want.sum(1)).max() < 0.01 * want.sum()
+
+
+def test_language_counts_the_whole_of_a_long_text():
+    # Every second character is Latin, and more characters are Han.
+    text = "a国" * 4_000 + "国" * 10
+    assert language(text) == "zh" and language("国" * 10 + text) == "zh"
+    assert language(text[:-10] + "b" * 10) == "other"
