@@ -32,14 +32,14 @@ def report(gates: DataFrame, channels: DataFrame, measured: DataFrame) -> DataFr
     """gate, channel (null for global gates), ``threshold``, ``status``: one row per gate and channel.
 
     ``channels`` (channel, role) is small, so the cross product is; the role decides before anything measured is looked at. A bound
-    without a measurement and any gate that isn't a bound is "not measured".
+    without a measurement is "not measured". A formula's measurement is the number of what breaks it; qualitative gates have none.
     """
     per = gates.where("scope = 'per_channel'").crossJoin(F.broadcast(channels.select("channel", "role")))
     per = per.withColumn("applies", F.array_contains(F.split("roles", ","), F.col("role")))
     glob = gates.where("scope = 'global'").withColumn("channel", F.lit(None).cast("string")).withColumn("role", F.lit(None).cast("string")).withColumn("applies", F.lit(True))
     m = measured.select(F.col("gate").alias("_g"), F.col("channel").alias("_c"), F.col("measured").alias("_m"))
     rows = per.unionByName(glob).join(m, (F.col("gate") == F.col("_g")) & F.col("channel").eqNullSafe(F.col("_c")), "left")
-    ok = F.when(F.col("op") == ">=", F.col("_m") >= F.col("value")).when(F.col("op") == "<=", F.col("_m") <= F.col("value"))
+    ok = F.when(F.col("op") == ">=", F.col("_m") >= F.col("value")).when(F.col("op") == "<=", F.col("_m") <= F.col("value")).when(F.col("kind") == "formula", F.col("_m") == 0)
     number = F.format_string("%.3f", F.round("_m", 3))
     status = F.when(~F.coalesce("applies", F.lit(False)), F.lit("not applicable")).when(F.col("_m").isNull() | ok.isNull(), F.lit("not measured")).when(ok, F.concat(F.lit("passed ("), number, F.lit(")"))).otherwise(F.concat(F.lit("failed ("), number, F.lit(")")))
     return rows.select("gate", "channel", threshold().alias("threshold"), status.alias("status"))

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscle.functions.text import CTA_PHRASES, contains_any, expected_words, reading_ease, syllables, word_count
+from corpuscle.operators.fusion import absorbed
 from corpuscle.operators.gates import GATES, registry, report
 from corpuscle.operators.sampling import eligible, hash_order, quota_sample, seeded_draw, top_k
-from corpuscle.plans.sentence_queries import CUR_V, CUR_W, TOKENS, _videos
+from corpuscle.operators.windows import CEILING
+from corpuscle.plans.annotation_queries import _runs
+from corpuscle.plans.sentence_queries import CUR_V, CUR_W, TOKENS, _gated, _sentences, _videos
 from corpuscle.sources.tables import current_rows, table
 
 #: Videos of the test tables are short; of them, those of a minute are the long ones.
@@ -95,15 +98,39 @@ def channel_report(spark: SparkSession, d: str) -> DataFrame:
     return _videos(spark, d).rollup("channel", "source").agg(F.count("*").alias("n"), F.sum(F.coalesce("view_count", F.lit(0))).cast("bigint").alias("views"), F.grouping_id().cast("int").alias("level"))
 
 
-def gate_report(spark: SparkSession, d: str) -> DataFrame:
+def _corpus_measured(spark: SparkSession, d: str) -> DataFrame:
     g = corpus_gate(spark, d)
-    measured = g.select(F.lit("profile_videos").alias("gate"), "channel", F.col("n_profile").cast("double").alias("measured")).unionByName(g.select(F.lit("word_ratio").alias("gate"), "channel", F.col("least_ratio").alias("measured")))
+    return g.select(F.lit("profile_videos").alias("gate"), "channel", F.col("n_profile").cast("double").alias("measured")).unionByName(g.select(F.lit("word_ratio").alias("gate"), "channel", F.col("least_ratio").alias("measured")))
+
+
+def gate_report(spark: SparkSession, d: str) -> DataFrame:
+    """The gates of the corpus phase measured, as SQL has them; gate_report_full measures those of windows and blocks too."""
+    return report(registry(spark), table(spark, d, "channels").select("channel", "role"), _corpus_measured(spark, d))
+
+
+def _video_measured(spark: SparkSession, d: str) -> DataFrame:
+    """Gates of windows and of smoothing, per channel: what breaks parity, the share of single windows, the share of single blocks absorbed."""
+    g = _gated(spark, d).groupBy("video_id").agg(
+        F.count_if(F.col("words") > CEILING).alias("big"), F.count_if((F.col("words") > CEILING) & ((F.col("n") != 1) | (F.col("big") <= CEILING))).alias("unproven"),
+        F.count_if((F.col("n") == 1) & F.col("next_words").isNotNull()).alias("single"), F.count("*").alias("total"))
+    s = _sentences(spark, d).groupBy("video_id").agg(F.count_if(word_count("text") > CEILING).alias("big_sentences"))
+    b = absorbed(_runs(spark, d), "video_id").groupBy("video_id").agg(F.count_if("absorbed").alias("absorbed"), F.count_if(F.col("n") == 1).alias("single_blocks"))
+    v = _videos(spark, d).select(F.col("id").alias("video_id"), "channel").join(g, "video_id", "left").join(s, "video_id", "left").join(b, "video_id", "left")
+    c = v.groupBy("channel").agg(*[F.sum(x).alias(x) for x in ("big", "unproven", "single", "total", "big_sentences", "absorbed", "single_blocks")])
+    rate = F.when(F.col("single_blocks") > 0, F.col("absorbed") / F.col("single_blocks")).when(F.col("single_blocks") == 0, F.lit(0.0))
+    of = {"big_windows": (F.abs(F.col("big") - F.col("big_sentences")) + F.col("unproven")).cast("double"), "single_ratio": F.col("single") / F.col("total"), "smoothing": rate}
+    return c.select("channel", F.explode(F.array(*[F.struct(F.lit(k).alias("gate"), x.alias("measured")) for k, x in of.items()])).alias("_x")).select("_x.gate", "channel", "_x.measured")
+
+
+def gate_report_full(spark: SparkSession, d: str) -> DataFrame:
+    """gate_report with the gates of windows and of smoothing measured too."""
+    measured = _corpus_measured(spark, d).unionByName(_video_measured(spark, d))
     return report(registry(spark), table(spark, d, "channels").select("channel", "role"), measured)
 
 
 QUERIES = {
     "word_counts": word_counts, "expected_word_ratio": expected_word_ratio, "corpus_gate": corpus_gate, "eligible_pool_topk": eligible_pool_topk, "holdout_hash_sample": holdout_hash_sample, "holdout_seeded": holdout_seeded, "quota_sample": quota_sample_q,
-    "phrase_candidates": phrase_candidates, "readability": readability, "source_contamination": source_contamination, "forbidden_terms": forbidden_terms, "channel_report": channel_report, "gate_report": gate_report,
+    "phrase_candidates": phrase_candidates, "readability": readability, "source_contamination": source_contamination, "forbidden_terms": forbidden_terms, "channel_report": channel_report, "gate_report": gate_report, "gate_report_full": gate_report_full,
 }
 
 _RATIO = f"""{_SEG}, {CUR_V}, wd AS (SELECT video_id, sum({TOKENS.format('texto')}) AS words FROM cg GROUP BY 1),

@@ -1,6 +1,7 @@
 import datetime
 import itertools
 import json
+import os
 import random
 import re
 
@@ -14,8 +15,9 @@ from corpuscle.operators.merging import merge_open, signals
 from corpuscle.operators.sampling import PoolTooSmall, anchored_draw, eligible, holdout, quota_sample, top_k
 from corpuscle.operators.segments import attach, chunk_offsets, gap_segments
 from corpuscle.operators.windows import window_numbers
-from corpuscle.plans.corpus_queries import KEPT, SEED, eligible_pool_topk, holdout_seeded
-from corpuscle.plans.sentence_queries import sentence_times
+from corpuscle.plans.annotation_queries import smoothing_rate
+from corpuscle.plans.corpus_queries import KEPT, SEED, _video_measured, eligible_pool_topk, gate_report, gate_report_full, holdout_seeded
+from corpuscle.plans.sentence_queries import sentence_times, window_gate_parity, window_gate_ratio
 from corpuscle.sources.artifacts import caption_fragments, envelope, first_source, merge_worksheet, raw_chunks, read_listing, read_manifest, read_raw, sample_report, worksheet, write_manifest
 from corpuscle.sources.tables import current_rows
 
@@ -239,3 +241,22 @@ def test_sentence_times_against_brute_force(spark, tmp_path):
     for r in sentence_times(spark, str(tmp_path)).orderBy("video_id", "idx").collect():
         got.setdefault(r.video_id, []).append((r.idx, r.char_from, r.char_to, r.start_s, r.end_s))
     assert got == {v: x for v, x in want.items() if x}
+
+
+def test_gate_report_full_measures_windows_and_smoothing(spark, tmp_path):
+    d = "/root/testdata/sf0.001"
+    got = {(r.gate, r.channel): r.status for r in gate_report_full(spark, d).collect()}
+    less = {(r.gate, r.channel): r.status for r in gate_report(spark, d).collect()}
+    assert got.keys() == less.keys()
+    assert any(g in ("big_windows", "single_ratio", "smoothing") and s.startswith(("passed", "failed")) for (g, _), s in got.items())
+    assert all(got[k] == s for k, s in less.items() if k[0] not in ("big_windows", "single_ratio", "smoothing"))
+    # With all videos in one channel the figures are those of the gates over everything.
+    for t in ("sentences", "windows", "annotations"):
+        os.symlink(f"{d}/{t}.parquet", tmp_path / f"{t}.parquet")
+    ids = spark.read.parquet(f"{d}/sentences.parquet").select("video_id").union(spark.read.parquet(f"{d}/windows.parquet").select("video_id")).union(spark.read.parquet(f"{d}/annotations.parquet").select("video_id")).distinct()
+    videos = spark.read.parquet(f"{d}/videos.parquet").drop("id", "channel").limit(1)
+    ids.select(F.col("video_id").alias("id"), F.lit("one").alias("channel")).crossJoin(videos).write.parquet(str(tmp_path / "videos.parquet"))
+    m = {r.gate: r.measured for r in _video_measured(spark, str(tmp_path)).collect()}
+    p = window_gate_parity(spark, d).first()
+    assert m["big_windows"] == abs(p.big_windows - p.big_sentences) + p.unproven
+    assert m["single_ratio"] == pytest.approx(window_gate_ratio(spark, d).first().ratio, abs=1e-6) and m["smoothing"] == pytest.approx(smoothing_rate(spark, d).first().rate, abs=1e-6)
