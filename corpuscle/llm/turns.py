@@ -39,11 +39,15 @@ HESITATION = re.compile(
     r"え[ーえ]+と?|えっと|あの[ーう]+|う[ーう]+ん|嗯+|呃+|唔+|अं+|उम्+|हम्म+|เอ่อ+|อืม+|อ่า+|آه+|ام+م|إم+م|ا?مم+)",
     re.IGNORECASE,
 )
+# Words of lines that, read without their video, show that UM is a word there.
 UM_IS_A_WORD = {"de", "que", "por", "em", "do", "da", "os", "com", "para", "existe", "nada", "foi", "era", "só", "até", "você", "uma", "não", "der", "die", "das", "und", "wir", "ist", "war", "stieg", "ein", "eine", "wert", "prozent", "por", "cento", "tempo", "detalhe", "há", "dos", "disse", "er", "es", "im", "kam"}
+#: Frequent words that only languages with the word UM have, and those of the other languages in Latin letters.
+UM_WORDS = "não você uma do da os é já foi em ninguém até mais pelo pela isso der die das und nicht ist wir zur mit wie ein eine sich auch für von war".split()
+OTHER_WORDS = "the and of was that it with you they this from el los las y hay una sin nadie muy pero le les et est dans une pas rien plus ce".split()
 ROLES = ("host", "guest", "narrator", "expert")
 
 STAMP = re.compile(r"\s*([\[(]?)(\d{1,4}(?::\d{1,2}){1,2})(?:[.,](\d{1,3}))?([\])]?)\s*(-->|-|–|\||:)?(?=\s|$)\s*")
-NOTE = re.compile(r"\[[^\[\]]{1,40}\]|\([^()]{1,40}\)|<[^<>]{1,40}>|\*[^*\s][^*]{0,38}\*|【[^】]{1,40}】|（[^（）]{1,40}）|♪[^♪]{0,80}♪|[♪♫]")
+NOTE = re.compile(r"\[[^\[\]]+\]|\([^()]{1,40}\)|<[^<>]{1,40}>|\*[^*\s][^*]{0,38}\*|【[^】]+】|（[^（）]{1,40}）|♪[^♪]{0,80}♪|[♪♫]")
 NAME = r"[^\W\d_][\w'’-]*\.?(?:_\d+)?"
 LABEL = re.compile(
     rf"(?P<sign>>>+\s?|(?<!\S)[-–]\s)?(?:"
@@ -181,11 +185,15 @@ def mine(text: str, start: float | None, cast: Cast) -> Iterator[tuple[str, bool
         yield layout, who is not None
 
 
-def clean(text: str) -> tuple[str, bool]:
-    """Speech without sound notes and hesitation sounds, and whether words are left."""
+def clean(text: str, um_is_a_word: bool | None = None) -> tuple[str, bool]:
+    """Speech without sound notes and hesitation sounds, and whether words are left.
+
+    Whether UM is a word is a matter of the video's language; only where that isn't told do the words of the line decide. Alone it is a sound.
+    """
     def note(m: re.Match) -> str:
         inner = WORD.findall(m[0])
-        return " " if len(inner) <= 3 and not any(c.isdigit() for c in m[0]) else m[0]
+        # Square brackets are a transcriber's, whatever their length; between other marks long text can be speech.
+        return " " if (m[0][0] in "[【" or len(inner) <= 3) and not any(c.isdigit() for c in m[0]) else m[0]
 
     if _NOTES.search(text):
         text = NOTE.sub(note, text)
@@ -193,7 +201,8 @@ def clean(text: str) -> tuple[str, bool]:
     if not words:
         return "", False
     low = {w.lower() for w in words}
-    um = low & {"um"} and (not low & UM_IS_A_WORD)
+    word = bool(low & UM_IS_A_WORD) if um_is_a_word is None else um_is_a_word
+    um = "um" in low and (not word or all(w == "um" or HESITATION.fullmatch(w) for w in low))
     if not any(HESITATION.fullmatch(w) for w in low) and not um:
         return " ".join(text.split()), True
     out = []
@@ -206,7 +215,7 @@ def clean(text: str) -> tuple[str, bool]:
     return (text, True) if WORD.search(text) else ("", False)
 
 
-def units(text: str | None, start: float | None, cast: Cast, layouts: frozenset[str]) -> list[tuple[str | None, bool, str, bool]]:
+def units(text: str | None, start: float | None, cast: Cast, layouts: frozenset[str], um_is_a_word: bool | None = None) -> list[tuple[str | None, bool, str, bool]]:
     """(speaker named, whether the voice changes without a name, text, whether it has words), in order."""
     if not text:
         return []
@@ -221,7 +230,7 @@ def units(text: str | None, start: float | None, cast: Cast, layouts: frozenset[
     parts = [(None, False, 0)] + [(who, change, e) for _, e, who, change in cuts]
     ends = [b for b, _, _, _ in cuts] + [len(text)]
     for (who, change, b), e in zip(parts, ends):
-        words, some = clean(text[b:e])
+        words, some = clean(text[b:e], um_is_a_word)
         if who or change or some:
             out.append((who, change, words, some))
     return out
@@ -249,6 +258,14 @@ def mined_layouts(prepared: DataFrame) -> DataFrame:
     return prepared.select("text", "start", "cast").mapInPandas(_mine_batches, "layout string, n bigint, fit bigint").groupBy("layout").agg(F.sum("n").alias("n"), F.sum("fit").alias("fit"))
 
 
+def _um_videos(prepared: DataFrame) -> DataFrame:
+    """_v, ``um``: whether UM is a word in the video's language, by frequent words of all its lines; null where they don't tell."""
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")
+    hits = lambda of: F.sum(F.size(F.filter(words, lambda w: w.isin(of))))
+    n = prepared.where("text is not null").groupBy(F.col("video_id").alias("_v")).agg(hits(UM_WORDS).alias("_u"), hits(OTHER_WORDS).alias("_o"))
+    return n.select("_v", F.when(F.col("_u") != F.col("_o"), F.col("_u") > F.col("_o")).alias("um"))
+
+
 def spoken(fragments: DataFrame, speakers: DataFrame) -> DataFrame:
     """Units of speech with words, each with its voice, in any order.
 
@@ -263,19 +280,21 @@ def spoken(fragments: DataFrame, speakers: DataFrame) -> DataFrame:
         raise ValueError("more layouts than lines can have")
     layouts = frozenset(r.layout for r in good)
 
+    prepared = prepared.join(_um_videos(prepared), null_safe(["video_id"], ["_v"]), "left").drop("_v")
+
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for video, frag, start, text, cast in zip(pdf["video_id"], pdf["frag_idx"], pdf["start"], pdf["text"], pdf["cast"]):
+            for video, frag, start, text, cast, um in zip(pdf["video_id"], pdf["frag_idx"], pdf["start"], pdf["text"], pdf["cast"], pdf["um"]):
                 at = None if pd.isna(start) else start
                 who = cast_of(cast)
-                for k, (name, change, words, some) in enumerate(units(text, at, who, layouts)):
+                for k, (name, change, words, some) in enumerate(units(text, at, who, layouts, None if pd.isna(um) else bool(um))):
                     out.append((video, frag, at, k, name, int(change), words if some else None, who.narrator))
             yield pd.DataFrame(out, columns=["video_id", "frag_idx", "start", "unit", "named", "change", "text", "narrator"])
 
     kinds = dict(prepared.dtypes)
     schema = f"video_id {kinds['video_id']}, frag_idx {kinds['frag_idx']}, start double, unit int, named string, change int, text string, narrator string"
-    parsed = prepared.select("video_id", "frag_idx", "start", "text", "cast").mapInPandas(parse, schema)
+    parsed = prepared.select("video_id", "frag_idx", "start", "text", "cast", "um").mapInPandas(parse, schema)
     at = F.coalesce("start", F.lit(float("-inf")))
     parsed = settle(parsed.withColumn("at", at).withColumn("_block", F.coalesce(F.floor(F.col("start") / BLOCK_S), F.lit(-(1 << 40))).cast("bigint")))
 

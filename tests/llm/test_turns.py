@@ -98,3 +98,11 @@ def test_empty_tables_and_unknown_channel(spark):
     f, s = frames(spark, [("v", 0, 0.0, "Orla: words")])
     assert spoken(f.limit(0), s).count() == 0
     assert [r.speaker_id for r in spoken(f, s.limit(0)).collect()] == [None]
+
+
+def test_um_by_language_of_the_video_and_long_notes(spark):
+    rows = [("p", 0, 0.0, "Não foi isso, você já disse."), ("p", 1, 1.0, "um homem velho chegou"), ("p", 2, 2.0, "um"), ("e", 0, 0.0, "The man and the dog."), ("e", 1, 1.0, "um it was tempo"), ("e", 2, 2.0, "[upbeat electronic music that is now playing all over again]")]
+    f, s = frames(spark, rows)
+    got = {(r.video_id, r.frag_idx): r.text for r in spoken(f, s).collect()}
+    assert got == {("p", 0): rows[0][3], ("p", 1): rows[1][3], ("e", 0): rows[3][3], ("e", 1): "it was tempo"}
+    assert clean("He came (which was rather late for all of us).")[0] == "He came (which was rather late for all of us)."
