@@ -60,3 +60,40 @@ def signal_sql(text: str, following: str, spark: bool) -> str:
     WHEN {no_comma} AND {n}({tok}) > 3 AND {no_finite} AND NOT {pronoun_verb} THEN 'open'
     WHEN {has(nxt, rf"(?i)^[\s,]*(({_ADV})(\s[^,]*)?,[\s,]*)*({_COP})([^A-Za-z']|$)")} THEN 'open'
     ELSE 'undetermined' END"""
+
+
+#: Texts of so many tokens are left as they are by ``digest_sql``; longer ones keep HEAD tokens of their beginning.
+DIGESTED, HEAD = 14, 6
+
+
+def closed_sql(text: str) -> str:
+    """Whether a text ends with a closing mark: complete whatever stands before its last token (Spark)."""
+    return f"rlike({text}, r'[.!?][\\x27\")”’]*\\s*$')"
+
+
+def digest_sql(text: str) -> str:
+    """A text of bounded size with the same signal as ``text``, alone and with anything behind it (Spark).
+
+    The rules look at the first five tokens, at the last one, at the last one with a letter and at what stands between them only by whether
+    it has none, one or more commas, a finite verb, a bare copula before a comma, and a relative pronoun as the last of its marked tokens.
+    Those are kept as representatives: a token with a comma each, "has", "who"; a text of up to DIGESTED tokens stays as it is.
+    """
+    letters = "lower(regexp_replace(d_y, r'[^A-Za-z\\x27]', ''))"
+    contraction = "rlike(lower(d_y), r'(n\\x27t|\\x27s|\\x27re|\\x27ve|\\x27d|\\x27ll)$')"
+    klass = f"CASE WHEN {letters} IN {_list(RELATIVES)} THEN 'r' WHEN {letters} IN {_list(COPULAS + AUXILIARIES)} THEN 'f' WHEN {contraction} THEN 'c' ELSE '' END"
+    # t: tokens, m: those between head and last, k: their marks, a: places of m with a letter.
+    commas = "length(array_join(d_x.m, '')) - length(replace(array_join(d_x.m, ''), ',', ''))"
+    lettered = "element_at(d_x.a, -1)"
+    last = "rlike(element_at(d_x.t, -1), '[A-Za-z]')"
+    behind = f"slice(d_x.m, {lettered} + 2, size(d_x.m))"
+    copula = f"rlike({text}, r'\\b(is|are|was|were|am)\\s*,')"
+    body = f"""array_join(concat(slice(d_x.t, 1, {HEAD}), IF({copula}, array('is,'), array()),
+      IF({commas} > 0, array('x,'), array()), IF({commas} > 1, array('x,'), array()), IF(rlike(d_x.k, '[fc]'), array('has'), array()), IF(endswith(d_x.k, 'r'), array('who'), array()),
+      IF({last}, array(), concat(IF(size(d_x.a) > 0, array(replace(d_x.m[{lettered}], ',', ';')), array()),
+        IF(rlike(array_join(IF(size(d_x.a) > 0, {behind}, d_x.m), ''), r'\\x27'), array(char(39)), array('0')))),
+      slice(d_x.t, -1, 1)), ' ')"""
+    tokens = f"filter(split({text}, r'\\s+'), d_y -> d_y <> '')"
+    middle = f"slice(d_t, {HEAD + 1}, size(d_t) - {HEAD + 1})"
+    bound = f"""transform(array({tokens}), d_t -> named_struct('t', d_t, 'm', {middle}, 'k', array_join(transform({middle}, d_y -> {klass}), ''),
+      'a', filter(sequence(0, size(d_t) - {HEAD + 2}), d_i -> rlike(d_t[d_i + {HEAD}], '[A-Za-z]'))))"""
+    return f"IF(size({tokens}) <= {DIGESTED}, {text}, transform({bound}, d_x -> {body})[0])"

@@ -90,15 +90,15 @@ def merged_sentences(spark: SparkSession, d: str) -> DataFrame:
     return merge_open(_sentences(spark, d), "video_id", "idx", "text")
 
 
-def _numbered(spark: SparkSession, d: str) -> DataFrame:
-    s = _sentences(spark, d).withColumn("words", word_count("text"))
-    n = window_numbers(s, ["video_id"], "idx", "words").select(F.col("video_id").alias("_v"), F.col("idx").alias("_i"), "win")
-    return s.join(n, F.col("video_id").eqNullSafe(F.col("_v")) & F.col("idx").eqNullSafe(F.col("_i"))).drop("_v", "_i")
+def _numbered(spark: SparkSession, d: str, *keep: str) -> DataFrame:
+    """video_id, idx, sent_id, ``keep``, words and ``win`` of every sentence."""
+    s = _sentences(spark, d).withColumn("words", word_count("text")).withColumn("text", F.coalesce("text", F.lit("")))
+    return window_numbers(s, ["video_id"], "idx", "words", ["sent_id", *keep, "words"])
 
 
 def windows_q(spark: SparkSession, d: str) -> DataFrame:
     v = _videos(spark, d).select(F.col("id").alias("video_id"), F.col("duration").alias("_dur"))
-    s = _numbered(spark, d).withColumn("text", F.coalesce("text", F.lit(""))).join(v, "video_id", "left")
+    s = _numbered(spark, d, "start_s", "end_s", "text").join(v, "video_id", "left")
     return records(s, "_dur").withColumn("pos_pct", F.round("pos_pct", 6)).drop("sent_ids")
 
 

@@ -8,12 +8,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from corpuscle.functions.boundary import digest_sql, signal_sql
 from corpuscle.functions.text import display_id, numbered_id, position, strip_markers, word_count
 from corpuscle.operators.fusion import pairs, runs, smooth, thirds
 from corpuscle.operators.gates import inconsistent, registry, report
 from corpuscle.operators.merging import merge_open, signals
 from corpuscle.operators.sampling import PoolTooSmall, anchored_draw, eligible, holdout, quota_sample, top_k
 from corpuscle.operators.segments import attach, chunk_offsets, gap_segments
+from corpuscle.operators import windows as windows_module
 from corpuscle.operators.windows import window_numbers
 from corpuscle.plans.annotation_queries import smoothing_rate
 from corpuscle.plans.corpus_queries import KEPT, SEED, _video_measured, eligible_pool_topk, gate_report, gate_report_full, holdout_seeded
@@ -69,23 +71,36 @@ def test_window_grouping(spark, words, sizes):
     assert got == sizes
 
 
+# Own sentences, two or more for each rule in the order of the rules.
 BOUNDARIES = [
-    ("It ended there.", "Then more", "complete"),
-    ('He said "stop!"', "Then", "complete"),
-    ("Not yet", "they left", "complete"),
-    ("Not yet", "people left", "open"),
-    ("They were looking at the", "river", "open"),
-    ("The reason is, of course, plain", "to see", "open"),
-    ("Because nobody came back home", "they left", "open"),
-    ("And when nobody came back home", "they left", "open"),
-    ("The person who hears voices", "they left", "open"),
-    ("People walked into the old Sand", "People of", "open"),
-    ("Wrestling games, foot races, tests of throwing", "they", "open"),
-    ("We saw it, whose work compiling data", "they", "open"),
-    ("Looking back across an entire arc", "they", "open"),
-    ("A long list without verb whatsoever", "they", "open"),
-    ("That took years, and nobody cared, it was long", "Directly, without interruption, is the fact", "open"),
-    ("That took years and it was long", "they left", "undetermined"),
+    ("Rain filled the barrel by noon.", "Nobody drank", "complete"),
+    ('Their sign read "closed!"', "Inside", "complete"),
+    ("(Was the kettle theirs?)", "Inside", "complete"),
+    ("Quite so", "we waited", "complete"),
+    ("Far north", "these drifted", "complete"),
+    ("Quite so", "kettles waited", "open"),
+    ("Green lamps", None, "open"),
+    ("Every kettle was sold to the", "harbour", "open"),
+    ("Pots, pans and lids were sold and", "shipped", "open"),
+    ("Their lamps, all nine of them, might", "break", "open"),
+    ("What matters is, in plain words, salt", "and rope", "open"),
+    ("All of them were, oddly, painted", "green", "open"),
+    ("Unless somebody mends that kettle soon", "we freeze", "open"),
+    ("But while somebody mends that kettle", "we freeze", "open"),
+    ("Two sailors whose kettle leaks badly", "we freeze", "open"),
+    ("Any lamp which flickers at dusk", "we freeze", "open"),
+    ("They rowed past the cliffs of Marrowby", "Harbour lights", "open"),
+    ("Barrel staves, copper rings, coils of tarred rope", "they", "open"),
+    ("Salt, rope, lamp oil, nothing else aboard", "they", "open"),
+    ("It has been sold, like everything, by a man who mended kettles badly", "they", "open"),
+    ("Mending a cracked kettle beside a stove, quietly", "they", "open"),
+    ("Four grey gulls above a harbour wall", "they", "open"),
+    ("He had rowed for an hour, and he was tired", "Directly, is the word", "open"),
+    ("He had rowed for an hour, and he was tired", "was the answer", "open"),
+    ("He had rowed for an hour and he was tired", "they slept", "undetermined"),
+    ("She mends kettles near a window", "they slept", "undetermined"),
+    ("Everyone had eaten, and lamps were lit", "Later it rained", "undetermined"),
+    ("We can't row, not today", "Later it rained", "undetermined"),
 ]
 
 
@@ -94,6 +109,50 @@ def test_boundary_signals(spark):
     assert [(r.text, r.signal) for r in signals(df).collect()] == [(t, w) for t, _, w in BOUNDARIES]
 
 
+def test_windows_of_blocks_against_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(windows_module, "BLOCK", 16)
+    rng = random.Random(8)
+    rows, want = [], {}
+    for v, n, gap in (("a", 700, 1), ("b", 90, 9), ("c", 1, 1), (None, 33, 1)):
+        count, words, win = 0, 0, -1
+        for i in sorted(rng.sample(range(n * gap), n)):
+            w = rng.choice([0, 1, 5, 9, 20, 34, 36, 60, 61, 300, None])
+            x = w or 0
+            if count in (0, 4) or count == 1 and words > 35 or words + x > 35 and (count >= 2 or words + x > 60):
+                count, words, win = 0, 0, win + 1
+            count, words = count + 1, words + x
+            want[v, i] = win
+            rows.append((v, i, w, "clash"))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "v string, idx int, w int, win string")
+    assert {(r.v, r.idx): r.win for r in window_numbers(df, ["v"], "idx", "w").collect()} == want
+    assert window_numbers(df.limit(0), ["v"], "idx", "w").count() == 0
+
+
+def test_digest_keeps_the_signal(spark):
+    rng = random.Random(3)
+    words = "the who is , is, was because and it runs it's don't Sand Old running x, y; ' 12 - \" (the) that's which has whose of 3, it He, a word people , Directly — now. end! the' of\" THE".split()
+    rows = []
+    for _ in range(1_500):
+        plain = rng.random() < 0.5
+        text = [rng.choice(["word", "cat", "12", "-", ","] if plain and rng.random() < 0.7 else words) for _ in range(rng.choice([1, 3, 14, 15, 16, 22, 60]))]
+        rows.append((" ".join(text), " ".join(rng.choice(words) for _ in range(rng.randint(0, 3)))))
+    df = spark.createDataFrame(rows, "text string, next_text string").withColumn("short", F.expr(digest_sql("text")))
+    got = df.select("text", "short", F.expr(signal_sql("text", "next_text", True)).alias("a"), F.expr(signal_sql("short", "next_text", True)).alias("b")).collect()
+    assert all(r.a == r.b for r in got) and max(len(r.short.split()) for r in got) <= 14
+
+
+def test_merge_over_long_chains_and_late_confidence(spark):
+    rows = [("v", i, "rain of the" if i % 7 else "It ended there.", None) for i in range(3_000)] + [("w", i, t, c) for i, (t, c) in enumerate([("They went to the", 0.0), ("coast and it was long", 0.0), ("they say.", None), ("", None), (None, None)])]
+    df = spark.createDataFrame(rows, "v string, i int, t string, c double").repartition(5)
+    got = merge_open(df, "v", "i", "t", "c").orderBy("v", "idx").collect()
+    texts = [r.text for r in got if r.v == "v"]
+    assert texts[:3] == ["It ended there.", " ".join(["rain of the"] * 6 + ["It ended there."]), " ".join(["rain of the"] * 6 + ["It ended there."])]
+    assert [r.idx for r in got if r.v == "v"] == list(range(len(texts))) and " ".join(texts) == " ".join(r[2] for r in rows if r[0] == "v")
+    # The boundary behind "coast" is undetermined from the start, with and without what is merged before it.
+    assert [(r.first, r.last) for r in got if r.v == "w"][0] == (0, 2)
+
+
 def test_merge_cascades_and_confidence(spark):
     rows = [("v", 0, "They went to the", None), ("v", 1, "river and", None), ("v", 2, "it was cold.", None), ("v", 3, "That took years and it was long", 0.2), ("v", 4, "they say.", None), ("v", 5, "That took years and it was long", 0.5), ("v", 6, "it was.", 0.0), ("w", 0, "alone at the", 0.0)]
     df = spark.createDataFrame(rows, "v string, i int, t string, c double")
