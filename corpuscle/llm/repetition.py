@@ -1,7 +1,8 @@
 """Problem 3: repeated content inside a document.
 
-Statistics of every document come from one linear pass. A decision list over them is learned by sequential covering from a
-bounded sample labelled by the definition, and becomes an ordered conditional expression that Spark runs over all documents.
+Cheap statistics of every document are Spark expressions: shares of repeated words and of repeated short runs of characters, and size. None
+of them is the share that defines a case. A decision list over them is learned by sequential covering from a bounded sample labelled by
+the definition, and becomes an ordered conditional expression over all documents; it decides which documents the exact pass reads.
 """
 
 from __future__ import annotations
@@ -9,19 +10,25 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuscle.operators.sequence import once
 from corpuscle.session import settle
 from corpuscle.sources.tables import current_rows, table
 
 #: A passage has so many letters and digits at least; a case has this share of its letters and digits in repeated ones.
 PASSAGE, CASE_SHARE = 12, 0.4
 #: Documents that the list is learned from: those least by hash of their key.
-SAMPLE = 4_000
+SAMPLE, SAMPLE_PARTS = 4_000, 16
+#: Characters of the short runs of the cheap statistics.
+GRAM = 6
+#: A rule may call so many documents that aren't cases, for each that is: what an exact check behind it costs against what a miss costs.
+FALSE_PER_TRUE = 1.0
 
-FEATURES = ["share", "longest", "top_gram", "word_share", "gram_share"]
+FEATURES = ["word_share", "gram_share", "stretch_share", "size"]
 
 
 def letters(text: str) -> str:
@@ -32,81 +39,81 @@ def letters(text: str) -> str:
     return "".join(c for c in low if c.isalpha() or unicodedata.category(c) == "Nd")
 
 
-def statistics(text: str | None, passage: int = PASSAGE) -> tuple[int, float, float, float, float, float]:
-    """(letters and digits, share repeated, share in the longest repeated run, of the commonest gram, of repeated words, of repeated grams).
+def exact(text: str | None, passage: int = PASSAGE) -> tuple[int, float]:
+    """(letters and digits, share of them repeated): the definition.
 
     A gram of ``passage`` letters is repeated if the same gram stood before without overlapping it; the letters of repeated
     grams are repeated. Any longer passage that stood before consists of such grams, so this is the share of all passages.
     """
     s = letters(text or "")
     n = len(s)
-    words = (text or "").lower().split()
-    word_share = 1 - len(set(words)) / len(words) if words else 0.0
     if n < 2 * passage:
-        return n, 0.0, 0.0, 0.0, word_share, 0.0
+        return n, 0.0
     first: dict[str, int] = {}
-    count: dict[str, int] = {}
-    covered = run = longest = to = 0
+    covered = to = 0
     for i in range(n - passage + 1):
-        g = s[i : i + passage]
-        at = first.setdefault(g, i)
-        if at != i:
-            count[g] = count.get(g, 1) + 1
-            if at + passage <= i:
-                if i > to:
-                    run = 0
-                run += i + passage - max(to, i)
-                covered += i + passage - max(to, i)
-                to = i + passage
-                longest = max(longest, run)
-    top = max(count.values(), default=1)
-    return n, covered / n, longest / n, min(1.0, top * passage / n), word_share, 1 - len(first) / (n - passage + 1)
-
-
-def _batches(text: str, passage: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            stats = pd.DataFrame([statistics(t, passage) for t in pdf[text]], columns=["n_letters", *FEATURES])
-            yield pd.concat([pdf.drop(columns=text).reset_index(drop=True), stats], axis=1)
+        if first.setdefault(s[i : i + passage], i) + passage <= i:
+            covered += i + passage - max(to, i)
+            to = i + passage
+    return n, covered / n
 
-    return run
 
+def with_features(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with FEATURES: shares of words, of short runs of characters and of every GRAM-th run that occurred before, log of size.
+
+    Expressions only. Null and empty texts have 0 of all.
+    """
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    df = once(df, _chars=F.split(F.regexp_replace(low, r"[^\p{L}\p{Nd}]", ""), ""), _words=F.filter(F.split(low, r"\s+"), lambda w: w != ""))
+    run = "concat(" + ", ".join(f"_chars[i + {k}]" for k in range(GRAM)) + ")"
+    runs = lambda stride: F.expr(f"IF(size(_chars) < {GRAM}, array(), transform(sequence(0, greatest(size(_chars) - {GRAM}, 0), {stride}), i -> {run}))")
+    again = lambda x: F.when(F.size(x) > 1, F.lit(1.0) - F.size(F.array_distinct(x)) / F.size(x)).otherwise(F.lit(0.0))
+    df = once(df, _runs=runs(1), _steps=runs(GRAM))
+    return df.select("*", again("_words").alias("word_share"), again("_runs").alias("gram_share"), again("_steps").alias("stretch_share"), F.log1p(F.size("_chars").cast("double")).alias("size")).drop("_chars", "_words", "_runs", "_steps")
 
-def with_statistics(df: DataFrame, keys: list[str], text: str, passage: int = PASSAGE) -> DataFrame:
-    """keys, ``n_letters`` and FEATURES of every row, of whole texts; null and empty texts have 0 of all. Repeated rows stay."""
+
+def with_shares(df: DataFrame, keys: list[str], text: str, passage: int = PASSAGE) -> DataFrame:
+    """keys, ``n_letters`` and ``share`` of every row by the definition, of whole texts; null and empty texts have 0. Repeated rows stay."""
     kinds = dict(df.dtypes)
-    out = df.select(*keys, text).mapInPandas(_batches(text, passage), ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n_letters int, " + ", ".join(f"{f} double" for f in FEATURES))
-    return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = pd.DataFrame([exact(t, passage) for t in pdf[text]], columns=["n_letters", "share"])
+            yield pd.concat([pdf.drop(columns=text).reset_index(drop=True), found], axis=1)
+
+    return df.select(*keys, text).mapInPandas(run, ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n_letters int, share double")
 
 
 Rule = list[tuple[str, float]]
 
 
-def learn(rows: pd.DataFrame, label: str, features: list[str], most_rules: int = 8, most_terms: int = 3) -> list[Rule] | None:
+def learn(rows: pd.DataFrame, label: str, features: list[str], most_rules: int = 8, most_terms: int = 3, per_true: float = FALSE_PER_TRUE) -> list[Rule] | None:
     """Decision list by sequential covering: conjunctions of ``feature > threshold``, for the label true.
 
-    A rule grows by the term that leaves the best precision (then coverage) until no negative is left, and is pruned of terms
-    whose loss costs nothing. Thresholds lie on negatives, not between them and positives, so that a rule claims all the
-    room up to the known negatives. Without a positive or without a negative nothing is learned: None.
+    A rule grows by the term that leaves the most positives among those that bring it down to ``per_true`` negatives a positive, else by
+    the one that leaves the fewest negatives a positive, and is pruned of terms that it stays within that bound without. Thresholds are as low as the
+    bound allows, so that a rule claims the room below the positives it has seen. Without a positive or without a negative nothing is learned: None.
     """
     rest = rows[[*features, label]]
     if rest.empty or rest[label].all() or not rest[label].any():
         return None
-    negatives = rest[~rest[label]]
+    negatives, positives = rest[~rest[label]], rest[rest[label]]
     rules: list[Rule] = []
-    positives = rest[rest[label]]
     while len(positives) and len(rules) < most_rules:
         rule: Rule = []
         pos, neg = positives, negatives
-        while len(neg) and len(rule) < most_terms:
+        while len(neg) > per_true * len(pos) and len(rule) < most_terms:
             best = None
             for f in features:
-                values = neg[f].drop_duplicates().sort_values()
-                for t in values.iloc[[int(q * (len(values) - 1)) for q in (0.5, 0.8, 0.9, 0.95, 0.98, 0.99, 1.0)]].unique():
-                    p, n = int((pos[f] > t).sum()), int((neg[f] > t).sum())
-                    if p and (best is None or (p / (p + n), p) > best[0]):
-                        best = ((p / (p + n), p), f, float(t))
-            if best is None:
+                p, n = np.sort(pos[f].to_numpy()), np.sort(neg[f].to_numpy())
+                for t in np.unique(np.concatenate([n, [-np.inf]])):
+                    np_, nn = len(p) - np.searchsorted(p, t, "right"), len(n) - np.searchsorted(n, t, "right")
+                    if np_:
+                        within = nn <= per_true * np_
+                        score = (within, np_ if within else np_ / (np_ + nn), nn if within else -nn)
+                        if best is None or score > best[0]:
+                            best = (score, f, float(t))
+            if best is None or best[2] == -np.inf:
                 break
             _, f, t = best
             rule.append((f, t))
@@ -116,7 +123,7 @@ def learn(rows: pd.DataFrame, label: str, features: list[str], most_rules: int =
         holds = lambda d, r: d[pd.concat([d[f] > t for f, t in r], axis=1).all(axis=1)]
         for term in list(rule):
             shorter = [x for x in rule if x != term]
-            if shorter and len(holds(negatives, shorter)) <= len(holds(negatives, rule)):
+            if shorter and len(holds(negatives, shorter)) <= per_true * len(holds(positives, shorter)):
                 rule = shorter
         rules.append(rule)
         positives = positives.drop(holds(positives, rule).index)
@@ -137,14 +144,23 @@ def as_expression(rules: list[Rule] | None) -> Column:
 
 
 def judged(df: DataFrame, keys: list[str], text: str, passage: int = PASSAGE, case_share: float = CASE_SHARE, sample: int = SAMPLE) -> DataFrame:
-    """``with_statistics`` and ``rule``, the decision list's verdict (0: not repetitive).
+    """keys, text, FEATURES and ``rule``, the decision list's verdict (0: not repetitive), of every row.
+
+    The list is learned from ``sample`` documents at most, which are labelled by the definition; features and verdicts cover all.
+    """
+    drawn = df.select(*keys, text).orderBy(F.xxhash64(*keys), *keys).limit(sample)
+    rows = with_shares(with_features(settle(drawn.select(F.col(text).alias("_text")).repartition(SAMPLE_PARTS)), "_text"), FEATURES, "_text", passage).toPandas()
+    rows["repetitive"] = rows["share"] >= case_share
+    return with_features(df.select(*keys, text), text).withColumn("rule", as_expression(learn(rows, "repetitive", FEATURES)))
+
+
+def repetitive(df: DataFrame, keys: list[str], text: str, passage: int = PASSAGE, case_share: float = CASE_SHARE, sample: int = SAMPLE) -> DataFrame:
+    """keys, ``n_letters``, ``share`` of the rows that the decision list calls repetitive and the definition confirms.
 
-    The list is learned from ``sample`` documents at most; statistics and verdicts cover all.
+    Only rows that the list calls are read by the exact pass; a case that no rule calls is missed. Null and empty texts are no cases.
     """
-    stats = settle(with_statistics(df, keys, text, passage))
-    drawn = stats.orderBy(F.xxhash64(*keys), *keys).limit(sample).select(*FEATURES).toPandas()
-    drawn["repetitive"] = drawn["share"] >= case_share
-    return stats.withColumn("rule", as_expression(learn(drawn, "repetitive", FEATURES)))
+    called = judged(df, keys, text, passage, case_share, sample).where(F.col("rule") > 0)
+    return with_shares(called, keys, text, passage).where(F.col("share") >= case_share)
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,11 +169,12 @@ def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the list calls repetitive and the definition confirms."""
-    return judged(_segments(spark, sf_dir), ["video_id", "seg_idx"], "texto").where(F.col("rule") > 0).where(F.col("share") >= CASE_SHARE).select("video_id", "seg_idx")
+    return repetitive(_segments(spark, sf_dir), ["video_id", "seg_idx"], "texto").select("video_id", "seg_idx")
 
 
 def p3_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = judged(_segments(spark, sf_dir), ["video_id", "seg_idx"], "texto")
+    """The share of every segment; the list isn't needed where all are measured."""
+    out = with_shares(_segments(spark, sf_dir), ["video_id", "seg_idx"], "texto")
     return out.select("video_id", "seg_idx", F.col("n_letters").cast("bigint").alias("n_letters"), F.round("share", 6).alias("share"))
 
 

@@ -3,7 +3,8 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from corpuscle.llm.repetition import FEATURES, as_expression, judged, learn, letters, statistics
+from corpuscle.llm import repetition
+from corpuscle.llm.repetition import FEATURES, as_expression, exact, judged, learn, letters, repetitive, with_features, with_shares
 
 
 def brute(text, passage=12):
@@ -26,27 +27,50 @@ def texts():
 
 def test_share_equals_brute_force():
     for t in texts():
-        assert abs(statistics(t)[1] - brute(t or "")) < 1e-12
+        assert abs(exact(t)[1] - brute(t or "")) < 1e-12
 
 
-def test_found_equals_definition(spark):
+def frame(spark):
     rows = [(f"v{i}", i % 3, t, 0.5) for i, t in enumerate(texts())]
-    df = spark.createDataFrame(rows, "video_id string, seg_idx int, texto string, share double")
-    want = {r[0] for r in rows if brute(r[2] or "") >= 0.4}
+    return spark.createDataFrame(rows, "video_id string, seg_idx int, texto string, share double"), {r[0] for r in rows if brute(r[2] or "") >= 0.4}
+
+
+def test_found_by_the_list_then_the_definition(spark):
+    df, want = frame(spark)
     for sample in (1, 20, 4000):
         got = judged(df, ["video_id", "seg_idx"], "texto", sample=sample)
-        assert got.count() == len(rows)
-        assert {r.video_id for r in got.where("rule > 0 and share >= 0.4").collect()} == want
-    assert judged(df.limit(0), ["video_id"], "texto").count() == 0
+        assert got.count() == df.count()
+        found = {r.video_id for r in repetitive(df, ["video_id", "seg_idx"], "texto", sample=sample).collect()}
+        assert found <= want and len(found) >= (0.9 if sample == 4000 else 0.0) * len(want)
+    assert {r.video_id for r in with_shares(df, ["video_id"], "texto").where("share >= 0.4").collect()} == want
+    assert judged(df.limit(0), ["video_id"], "texto").count() == 0 and repetitive(df.limit(0), ["video_id"], "texto").count() == 0
+
+
+def test_the_list_decides_what_is_read(spark, monkeypatch):
+    df, want = frame(spark)
+    read = lambda: judged(df, ["video_id"], "texto").where("rule > 0").count()
+    called = read()
+    assert called < df.count()
+    # Without a list every row is read; a list that calls nothing finds nothing.
+    monkeypatch.setattr(repetition, "learn", lambda *a, **k: None)
+    assert read() == df.count() and {r.video_id for r in repetitive(df, ["video_id"], "texto").collect()} == want
+    monkeypatch.setattr(repetition, "learn", lambda *a, **k: [])
+    assert read() == 0 and repetitive(df, ["video_id"], "texto").count() == 0
+
+
+def test_features_are_shares_of_what_stood_before(spark):
+    df = spark.createDataFrame([("Rain rain GO away",), (None,), ("",), ("語の文。" * 4,), ("abc",)], "t string")
+    got = [(r.word_share, r.gram_share) for r in with_features(df, "t").collect()]
+    assert got[0][0] == 0.25 and got[1] == got[2] == (0.0, 0.0) and abs(got[3][1] - (1 - 3 / 7)) < 1e-9 and got[4] == (0.0, 0.0)
 
 
 def test_list_of_rules(spark):
     rng = random.Random(1)
     d = pd.DataFrame([{f: rng.random() for f in FEATURES} for _ in range(500)])
-    d["y"] = (d["share"] > 0.9) | (d["longest"] > 0.8) & (d["word_share"] > 0.5)
-    rules = learn(d, "y", FEATURES)
+    d["y"] = (d["gram_share"] > 0.9) | (d["size"] > 0.8) & (d["word_share"] > 0.5)
+    rules = learn(d, "y", FEATURES, per_true=0.05)
     got = spark.createDataFrame(d).withColumn("r", as_expression(rules)).toPandas()
     assert ((got["r"] > 0) & ~got["y"]).sum() <= 5 and ((got["r"] > 0) & got["y"]).sum() >= 0.8 * got["y"].sum()
     assert learn(d[d["y"]], "y", FEATURES) is None and learn(d.iloc[:0], "y", FEATURES) is None
     assert spark.range(1).select(as_expression(None).alias("r")).first().r == 1
-    assert spark.range(1).select(F.lit(0.0).alias("share"), as_expression([]).alias("r")).first().r == 0
+    assert spark.range(1).select(F.lit(0.0).alias("size"), as_expression([]).alias("r")).first().r == 0
