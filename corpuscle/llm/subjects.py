@@ -1,9 +1,10 @@
 """Problem 9: subject areas of documents by latent Dirichlet allocation.
 
-A variational LDA is fitted over all documents: the E-step runs where the documents are, only topic-term sums come back. As
-many topics as there are subjects start from terms of hand-labelled documents, others start from the corpus as a whole and
-take up what belongs to no subject. Topics are mapped to subjects by their top terms, and a document's subjects follow from the
-topic proportions over its sentences.
+Terms are coded by hash, so the model's size is fixed and the corpus is parsed once. A variational LDA is fitted over all documents: the E-step
+runs where the documents are, topic-term sums are added up in a tree. As many topics as there are subjects start from terms of hand-labelled
+documents, others start from the corpus as a whole and take up what belongs to no subject. Topics are mapped to subjects by their top
+terms. A document's topic proportions are inferred, its sentences are folded in under them, and a sentence is about a subject if the
+subject's topics have enough of its proportions.
 """
 
 from __future__ import annotations
@@ -11,12 +12,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from hashlib import blake2b
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,19 +25,21 @@ from corpuscle.ontology import normal
 from corpuscle.session import settle
 from corpuscle.sources.tables import table
 
-#: Every term of at least so many documents is in the vocabulary, however many terms that are.
-MIN_DOCS = 3
-#: Labelled documents that topics start from: those least by hash of their id.
+#: Terms of a language are coded into so many places (a power of two); places of fewer than MIN_DOCS documents say nothing.
+PLACES, MIN_DOCS = 1 << 17, 3
+#: Labelled documents that topics start from and that the limit for sentences is fitted on: those least by hash of their id.
 LABELLED = 20_000
 OTHER_TOPICS, ROUNDS = 8, 4
 ALPHA, ETA = 0.1, 0.05
-#: A document's topic proportions have settled when a step moves none of them by this much.
-SETTLED = 1e-3
-#: A term of TELLING_DOCS documents tells a subject if its topics have this share of it; a sentence's form is heard first if
-#: FORM_KNOWN documents have it.
-TELLS, TELLING_DOCS, FORM_TELLS, FORM_KNOWN = 0.6, 5, 0.5, 12
-SHARE = 0.2
+#: Topic proportions have settled when a step moves none of them by this much.
+SETTLED = 5e-3
+#: Weight of the document's proportions, in terms, when a sentence is folded in; a document is about a subject from SHARE of its sentences on.
+CONTEXT, SHARE = 2.0, 0.2
+#: Proportions of a sentence that are tried as its limit; without labels that tell, LIMIT. Labels of other languages count OTHERS.
+LIMITS, LIMIT, OTHERS = [0.04 + 0.01 * i for i in range(40)], 0.1, 0.05
 TOP_TERMS = 40
+#: Places of one row of topic-term sums; from so many tasks on, sums are added in two steps.
+CHUNK, WIDE = 1 << 12, 256
 
 # Frequent words by which languages in Latin letters are told apart.
 FREQUENT = {
@@ -77,17 +79,9 @@ def language(text: str) -> str:
     return best if hits[best] else "other"
 
 
-def _form(sentence: str, lang: str) -> str:
-    """A sentence's form: capitalised words (not in German) and numbers masked, marks and numbers at its ends left out."""
-    core = re.sub(r"^[\W\d_]+|[\W_]+$", "", sentence)
-    words = re.sub(r"\d+", "9", core).split()
-    out = ["N" if i and lang != "de" and w[:1].isupper() and not w.isupper() else w.lower() for i, w in enumerate(words)]
-    return "\x01" + blake2b(" ".join(out).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
-
-
-def terms(sentence: str, lang: str) -> list[str]:
-    """Distinct terms of a sentence, its form first: words, pairs of words; in scripts without spaces, runs of characters."""
-    out = {_form(sentence, lang): None}
+def terms(sentence: str) -> list[str]:
+    """Distinct terms of a sentence: words, pairs of words; in scripts without spaces, runs of characters."""
+    out: dict[str, None] = {}
     before = ""
     for run in _RUN.findall(sentence):
         c = run[0]
@@ -104,8 +98,12 @@ def terms(sentence: str, lang: str) -> list[str]:
             if before:
                 out[before + " " + w] = None
             before = w
-    tag = chr(2 + LANGUAGES.index(lang))
-    return [tag + t for t in out]
+    return list(out)
+
+
+def place(term: str, block: int) -> int:
+    """Where a term of the language ``block`` is counted."""
+    return block * PLACES + (crc32(term.encode("utf-8", "surrogatepass")) & (PLACES - 1))
 
 
 def sentences_of(text: str | None) -> list[str]:
@@ -132,201 +130,277 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 1_000):
             part = batch.slice(at, 1_000)
-            flat: list[str] = []
+            flat: list[int] = []
             per_sentence, per_doc = [], []
             for text in part.column(1).to_pylist():
-                lang = language(text) if text else "other"
-                found = [terms(s, lang) for s in sentences_of(text)]
+                base = LANGUAGES.index(language(text)) * PLACES if text else 0
+                found = sentences_of(text)
                 per_doc.append(len(found))
-                for x in found:
-                    per_sentence.append(len(x))
-                    flat += x
-            sents = pa.ListArray.from_arrays(_offsets(per_sentence), pa.array(flat, pa.string()))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(_offsets(per_doc), sents)], names=["_id", "_sents"])
+                for s in found:
+                    own = {base + (crc32(t.encode("utf-8", "surrogatepass")) & (PLACES - 1)) for t in terms(s)}
+                    per_sentence.append(len(own))
+                    flat += sorted(own)
+            sents = pa.ListArray.from_arrays(_offsets(per_sentence), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(_offsets(per_doc), sents)], names=["_id", "_ids"])
 
 
 #: Term occurrences that the E-step holds at once.
 BATCH_TERMS = 50_000
 
 
-def _e_step(k: int, alpha: float):
-    def run(flat: np.ndarray, sizes: np.ndarray, beta: np.ndarray, sums: np.ndarray) -> None:
-        """Adds the topic-term sums of documents, laid end to end, to ``sums``."""
-        n = len(sizes)
-        doc = np.repeat(np.arange(n), sizes)
-        # Terms by document are neighbours, so sums by document are sums of slices.
-        full = np.flatnonzero(sizes)
-        starts = (np.cumsum(sizes) - sizes)[full]
-        b = np.ascontiguousarray(beta[:, flat].T)
-        theta = np.full((n, k), 1.0 / k, np.float32)
-
-        def shares(doc: np.ndarray, b: np.ndarray) -> np.ndarray:
-            share = theta[doc] * b
-            share /= share.sum(1, keepdims=True) + 1e-30
-            return share
-
-        # Each step raises the likelihood, so steps grow small; documents that have settled drop out.
-        live, own_doc, own_b = full, doc, b
-        while len(live):
-            new = alpha + np.add.reduceat(shares(own_doc, own_b), starts, axis=0)
-            new /= new.sum(1, keepdims=True)
-            moves = np.abs(new - theta[live]).max(1) >= SETTLED
-            theta[live] = new
-            if not moves.all():
-                kept = np.repeat(moves, sizes[live])
-                live, own_doc, own_b = live[moves], own_doc[kept], own_b[kept]
-                starts = np.cumsum(sizes[live]) - sizes[live]
-        share = shares(doc, b)
-        order = np.argsort(flat, kind="stable")
-        own, at = np.unique(flat[order], return_index=True)
-        sums[:, own] += np.add.reduceat(share[order], at, axis=0).T
+def settled(flat: np.ndarray, sizes: np.ndarray, beta: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """Topic proportions of items, whose terms are laid end to end, under the topics ``beta`` (place by topic) and ``prior`` (item by topic)."""
+    theta = prior / prior.sum(1, keepdims=True)
+    live = np.flatnonzero(sizes)
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    b = beta[flat]
+    starts = (np.cumsum(sizes) - sizes)[live]
+    # Each step raises the likelihood, so steps grow small; items that have settled drop out.
+    while len(live):
+        share = theta[own] * b
+        share /= share.sum(1, keepdims=True) + 1e-30
+        new = prior[live] + np.add.reduceat(share, starts, axis=0)
+        new /= new.sum(1, keepdims=True)
+        moves = np.abs(new - theta[live]).max(1) >= SETTLED
+        theta[live] = new
+        if not moves.all():
+            kept = np.repeat(moves, sizes[live])
+            live, own, b = live[moves], own[kept], b[kept]
+            starts = np.cumsum(sizes[live]) - sizes[live]
+    return theta
+
+
+def _documents(batch: pa.RecordBatch, known: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first document, one behind the last, known terms, their number by sentence, sentences by document), BATCH_TERMS at a time."""
+    docs = batch.column(batch.schema.get_field_index("_ids"))
+    sents = docs.flatten()
+    flat = sents.flatten().to_numpy(zero_copy_only=False)
+    keep = known[flat]
+    upto = np.concatenate([[0], np.cumsum(keep)])
+    low, base = sents.offsets.to_numpy(), docs.offsets.to_numpy()
+    low, base = upto[low - low[0]], base - base[0]
+    flat, per_sentence = flat[keep], np.diff(low)
+    ends = low[base[1:]]
+    at = 0
+    while at < batch.num_rows:
+        begun = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, begun + BATCH_TERMS, "right")))
+        yield at, to, flat[begun : ends[to - 1]], per_sentence[base[at] : base[to]], np.diff(base[at : to + 1])
+        at = to
+
+
+def _by_document(per_sentence: np.ndarray, per_doc: np.ndarray) -> np.ndarray:
+    return np.diff(np.concatenate([[0], np.cumsum(per_sentence)])[np.concatenate([[0], np.cumsum(per_doc)])])
+
+
+_SUMS = "chunk int, part int, sums binary"
+
+
+def _rows(total: np.ndarray, part: int) -> Iterator[pa.RecordBatch]:
+    """Sums (place by topic) as one row for each chunk of places that has any."""
+    for c in range(0, len(total), CHUNK):
+        if (piece := total[c : c + CHUNK]).any():
+            own = np.flatnonzero(piece.any(1)).astype(np.int32)
+            body = np.int32(len(own)).tobytes() + own.tobytes() + piece[own].astype(np.float32).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([c // CHUNK], pa.int32()), pa.array([part], pa.int32()), pa.array([body], pa.binary())], names=["chunk", "part", "sums"])
+
+
+def _read(body: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(body, np.int32, 1)[0])
+    return np.frombuffer(body, np.int32, n, 4), np.frombuffer(body, np.float32, n * k, 4 + 4 * n).reshape(n, k)
 
-    return run
 
+def _sums(shared, k: int, alpha: float):
+    """Topic-term sums of documents under (topics, known places); without topics, the number of documents of each place."""
 
-def _beta(lam: np.ndarray, block: np.ndarray) -> np.ndarray:
-    """Topic by term, each topic's weights normal within a language."""
-    per = np.stack([np.bincount(block, row, len(LANGUAGES)) for row in lam])
-    return lam / np.maximum(per[:, block], 1e-300)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
+        beta, known = shared.value
+        total = np.zeros((len(known), k), np.float32)
+        for batch in batches:
+            for _, _, flat, per_sentence, per_doc in _documents(batch, known):
+                sizes = _by_document(per_sentence, per_doc)
+                own = np.repeat(np.arange(len(sizes)), sizes)
+                if beta is None:
+                    once = np.unique(own * np.int64(len(known)) + flat) % len(known)
+                    np.add.at(total, once, 1)
+                    continue
+                theta = settled(flat, sizes, beta, np.full((len(sizes), k), alpha, np.float32))
+                share = theta[own] * beta[flat]
+                share /= share.sum(1, keepdims=True) + 1e-30
+                order = np.argsort(flat, kind="stable")
+                places, at = np.unique(flat[order], return_index=True)
+                if len(places):
+                    total[places] += np.add.reduceat(share[order], at, axis=0)
+        context = TaskContext.get()
+        yield from _rows(total, context.partitionId() % 64 if context else 0)
+
+    return run
 
-def _sums(shared, k: int, alpha: float):
-    step = _e_step(k, alpha)
 
+def _added(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        beta = shared.value
-        total = np.zeros(beta.shape)
+        acc: dict[int, np.ndarray] = {}
+        part = 0
         for batch in batches:
-            column = batch.column(0)
-            flat, sizes = column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy())
-            ends = np.cumsum(sizes)
-            at = 0
-            while at < len(sizes):
-                base = ends[at - 1] if at else 0
-                to = max(at + 1, int(np.searchsorted(ends, base + BATCH_TERMS, "right")))
-                if ends[to - 1] > base:
-                    step(flat[base : ends[to - 1]], sizes[at:to], beta, total)
-                at = to
-        if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array([row.astype(np.float32).tobytes() for row in total], pa.binary())], names=["topic", "sums"])
+            for c, part, body in zip(*(x.to_pylist() for x in batch.columns)):
+                own, values = _read(body, k)
+                acc.setdefault(c, np.zeros((CHUNK, k)))[own] += values
+        for c, total in acc.items():
+            for row in _rows(total, part):
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), *row.columns[1:]], names=["chunk", "part", "sums"])
 
     return run
 
 
-def _add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    acc: dict[int, np.ndarray] = {}
-    for pdf in batches:
-        for t, b in zip(pdf["topic"], pdf["sums"]):
-            row = np.frombuffer(b, np.float32).astype(np.float64)
-            acc[t] = acc[t] + row if t in acc else row
-    if acc:
-        yield pd.DataFrame({"topic": list(acc), "sums": [r.astype(np.float32).tobytes() for r in acc.values()]})
+def _total(coded: DataFrame, shared, k: int, places: int) -> np.ndarray:
+    """Sums over all documents, place by topic. Few tasks add up many documents each; beyond WIDE tasks sums meet in two steps."""
+    sc = coded.sparkSession.sparkContext
+    tasks = coded.rdd.getNumPartitions()
+    few = max(1, min(tasks, 2 * sc.defaultParallelism))
+    parts = coded.select("_ids").coalesce(few).mapInArrow(_sums(shared, k, ALPHA), _SUMS)
+    if few > WIDE:
+        parts = parts.repartition("chunk", "part").mapInArrow(_added(k), _SUMS)
+    rows = parts.repartition("chunk").mapInArrow(_added(k), _SUMS).collect()  # bounded: places x topics
+    total = np.zeros((places, k), np.float32)
+    for r in rows:
+        own, values = _read(r.sums, k)
+        total[r.chunk * CHUNK + own] += values
+    return total
 
 
 class Topics:
-    """A fitted model: term index, topic-term weights, documents of each term, and the share of each term that is each subject's."""
+    """A fitted model: topics (place by topic, each normal within a language), known places, topics of each subject and limit of a sentence by language."""
 
-    def __init__(self, index: dict[str, int], lam: np.ndarray, counts: np.ndarray, subject_of: list[list[str | None]], tells: np.ndarray):
-        self.index, self.lam, self.counts, self.subject_of, self.tells = index, lam, counts, subject_of, tells
+    def __init__(self, beta: np.ndarray, known: np.ndarray, subject_of: np.ndarray, limits: np.ndarray):
+        self.beta, self.known, self.subject_of, self.limits = beta, known, subject_of, limits
 
 
-def fit(prepared: DataFrame, labels: DataFrame, subjects: list[str], rounds: int = ROUNDS, labelled: int = LABELLED) -> tuple[Topics, DataFrame]:
-    """LDA over all of ``prepared`` (_id, _sents), started from at most ``labelled`` rows of ``labels`` (_id, subject).
+def _normal(lam: np.ndarray) -> np.ndarray:
+    blocks = lam.reshape(len(LANGUAGES), PLACES, -1)
+    return (blocks / np.maximum(blocks.sum(1, keepdims=True), 1e-30)).reshape(lam.shape).astype(np.float32)
 
-    Languages have their own terms, so each topic is one distribution per language. Returns the model and ``prepared``
-    with ``_ids``, the index of each term (-1 for terms outside the vocabulary), in place of ``_sents``.
+
+def fit(coded: DataFrame, labels: DataFrame, subjects: list[str], rounds: int = ROUNDS, labelled: int = LABELLED) -> Topics:
+    """LDA over all of ``coded`` (_id, _ids), started from at most ``labelled`` rows of ``labels`` (_id, subject).
+
+    Languages have their own terms, so each topic is one distribution per language.
     """
-    spark = prepared.sparkSession
-    once = F.array_distinct(F.flatten("_sents"))
-    counted = prepared.select(F.explode(once).alias("term")).groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
-    words = counted.orderBy("term").toPandas()
-    index = {t: i for i, t in enumerate(words["term"])}
-    block = np.fromiter((ord(t[0]) - 2 for t in words["term"]), np.int64, len(words)) if len(words) else np.zeros(1, np.int64)
-    k, n, v = len(subjects) + OTHER_TOPICS, len(subjects), max(1, len(index))
-    counts = np.zeros(v)
-    counts[: len(words)] = words["n"].to_numpy(float)
-    coded = _coded(prepared, index)
-
-    drawn = labels.orderBy(F.xxhash64("_id"), "_id", "subject").limit(labelled)
-    share = drawn.join(drawn.groupBy("_id").agg(F.count("*").alias("_k")), "_id")
-    seen = share.join(coded, "_id").select("subject", (F.lit(1.0) / F.col("_k")).alias("_w"), F.explode(F.array_distinct(F.flatten("_ids"))).alias("term"))
-    seeds = seen.where("term >= 0").groupBy("subject", "term").agg(F.sum("_w").alias("w")).toPandas()
-    start = np.zeros((n, v))
-    place = {s: i for i, s in enumerate(subjects)}
-    for s, t, w in zip(seeds["subject"], seeds["term"], seeds["w"]):
-        start[place[s], t] += w
-    told = start.sum(0, keepdims=True)
-    prior = start.sum(1, keepdims=True) / max(1e-9, start.sum())
+    spark = coded.sparkSession
+    k, n, v = len(subjects) + OTHER_TOPICS, len(subjects), len(LANGUAGES) * PLACES
+
+    def share(*what):
+        return spark.sparkContext.broadcast(what)
+
+    every = share(None, np.ones(v, bool))
+    counts = _total(coded, every, 1, v)[:, 0]
+    every.unpersist()
+    known = counts >= MIN_DOCS
+
+    drawn = settle(labels.orderBy(F.xxhash64("_id"), "_id", "subject").limit(labelled))
+    read = settle(coded.join(drawn.groupBy("_id").agg(F.collect_set("subject").alias("_own")), "_id"))
+    seen = read.select(F.explode("_own").alias("subject"), (F.lit(1.0) / F.size("_own")).alias("_w"), F.array_distinct(F.flatten("_ids")).alias("_t")).select("subject", "_w", F.explode("_t").alias("term"))
+    seeds = seen.groupBy("subject", "term").agg(F.sum("_w").alias("w")).toPandas()
+    start = np.zeros((v, n), np.float32)
+    column = {s: i for i, s in enumerate(subjects)}
+    np.add.at(start, (seeds["term"].to_numpy(np.int64), seeds["subject"].map(column).to_numpy(np.int64)), seeds["w"].to_numpy(np.float32))
+    start[~known] = 0
+    told = start.sum(1, keepdims=True)
+    prior = start.sum(0, keepdims=True) / max(1e-9, start.sum())
     # What labels say of a term beyond chance: a term whose labels are spread as all labels are says nothing.
     pure = start / np.maximum(told, 1e-9)
-    strong = (pure > np.maximum(0.5, 2 * prior)) * pure * told / (told + 1)
+    strong = ((pure > np.maximum(0.5, 2 * prior)) * pure * told / (told + 1)).astype(np.float32)
+    del start, told, pure
+    seen_in = np.where(known, counts, 0).astype(np.float32)[:, None]
+    first = strong * seen_in
     rng = np.random.default_rng(0)
-    first = strong * counts
-    lam = np.concatenate([ETA + first + 0.02 * counts, ETA + (1 - np.minimum(1, strong.sum(0, keepdims=True))) * counts / OTHER_TOPICS * rng.uniform(0.6, 1.4, (OTHER_TOPICS, v))])
-    flat = coded.select(F.filter(F.flatten("_ids"), lambda x: x >= 0).alias("_flat"))
+    rest = (1 - np.minimum(1, strong.sum(1, keepdims=True))) * seen_in / OTHER_TOPICS
+    lam = np.concatenate([ETA + first + 0.02 * seen_in, ETA + rest * rng.uniform(0.6, 1.4, (v, OTHER_TOPICS)).astype(np.float32)], 1)
+    del rest
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(_beta(lam, block).astype(np.float32))
-        parts = flat.mapInArrow(_sums(shared, k, ALPHA), "topic int, sums binary")
-        # As many rows as topics reach the driver, whatever the number of tasks.
-        rows = parts.repartition(k, "topic").mapInPandas(_add, "topic int, sums binary").collect()
-        lam = np.full((k, v), ETA)
-        for r in rows:
-            lam[r.topic] += np.frombuffer(r.sums, np.float32)
-        lam[:n] += 0.25 * first
+        shared = share(_normal(lam), known)
+        lam = _total(coded, shared, k, v) + ETA
         shared.unpersist()
     # Inspection, by language: a topic belongs to the subject that its top terms were labelled with, if they agree.
-    mass = lam / lam.sum(0, keepdims=True)
-    subject_of: list[list[str | None]] = []
-    tells = np.zeros((n, v))
-    for j in range(k):
-        salience = mass[j] * np.log1p(lam[j])
-        own: list[str | None] = []
-        for g in range(len(LANGUAGES)):
-            terms_ = np.flatnonzero(block == g)
-            top = terms_[np.argsort(-salience[terms_])[:TOP_TERMS]]
-            votes = strong[:, top].sum(1)
-            b = int(votes.argmax())
-            own.append(subjects[b] if len(top) and votes[b] > 0.6 * votes.sum() and votes[b] > 0.1 * len(top) else None)
-            if own[-1] is not None:
-                tells[b, terms_] += mass[j, terms_]
-        subject_of.append(own)
-    forms = np.fromiter((t[1] == "\x01" for t in index), bool, len(index))
-    tells[:, np.flatnonzero(~forms & (counts[: len(forms)] < TELLING_DOCS))] = 0
-    return Topics(index, lam, counts, subject_of, tells), coded
-
-
-def _coded(prepared: DataFrame, index: dict[str, int]) -> DataFrame:
-    shared = prepared.sparkSession.sparkContext.broadcast(list(index))
+    subject_of = np.full((len(LANGUAGES), k), -1)
+    for g in range(len(LANGUAGES)):
+        own = slice(g * PLACES, (g + 1) * PLACES)
+        places = np.flatnonzero(known[own]) + g * PLACES
+        mass = lam[places] / lam[places].sum(1, keepdims=True)
+        for j in range(k):
+            top = places[np.argsort(-(mass[:, j] * np.log1p(lam[places, j])))[:TOP_TERMS]]
+            votes = strong[top].sum(0)
+            b = int(votes.argmax()) if n else 0
+            if len(top) and n and votes[b] > 0.6 * votes.sum() and votes[b] > 0.1 * len(top):
+                subject_of[g, j] = b
+    model = Topics(_normal(lam), known, subject_of, np.full(len(LANGUAGES), LIMIT))
+    model.limits = _limits(model, read, subjects)
+    return model
+
+
+def sentence_shares(model: Topics, batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first document, sentences by document, sentence by subject, language by sentence): what the subjects' topics have of each sentence's proportions."""
+    k, n = model.beta.shape[1], int(model.subject_of.max(initial=-1)) + 1
+    for at, _, flat, per_sentence, per_doc in _documents(batch, model.known):
+        own = np.repeat(np.arange(len(per_doc)), per_doc)
+        theta = settled(flat, _by_document(per_sentence, per_doc), model.beta, np.full((len(per_doc), k), ALPHA, np.float32))
+        folded = settled(flat, per_sentence, model.beta, (ALPHA + CONTEXT * theta[own]).astype(np.float32))
+        # What the sentence's own terms say: the proportions without their prior.
+        size = per_sentence[:, None] + CONTEXT + ALPHA * k
+        said = np.maximum(folded * size - ALPHA - CONTEXT * theta[own], 0) / np.maximum(per_sentence[:, None], 1)
+        starts = np.concatenate([[0], np.cumsum(per_sentence)])[:-1]
+        lang = np.zeros(len(per_sentence), np.int64)
+        some = per_sentence > 0
+        lang[some] = flat[starts[some]] // PLACES
+        out = np.zeros((len(per_sentence), n), np.float32)
+        for j in range(k):
+            to = model.subject_of[lang, j]
+            hit = some & (to >= 0)
+            out[hit, to[hit]] += said[hit, j]
+        yield at, per_doc, out, lang
+
+
+def _limits(model: Topics, read: DataFrame, subjects: list[str]) -> np.ndarray:
+    """By language, the limit of a sentence's proportions under which the labelled documents' subjects agree best with their labels (by F1)."""
+    shared = read.sparkSession.sparkContext.broadcast(model)
+    column = {s: i for i, s in enumerate(subjects)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pa.array(shared.value, pa.string())
+        score = np.zeros((len(LANGUAGES), len(LIMITS), 3))
         for batch in batches:
-            docs = batch.column(1)
-            sents = docs.flatten()
-            ids = pc.fill_null(pc.index_in(sents.flatten().cast(pa.string()), value_set=known), -1)
-            base, low = docs.offsets.to_numpy(), sents.offsets.to_numpy()
-            inner = pa.ListArray.from_arrays(pa.array(low - low[0], pa.int32()), ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(base - base[0], pa.int32()), inner)], names=["_id", "_ids"])
-
-    return settle(prepared.mapInArrow(run, f"_id {dict(prepared.dtypes)['_id']}, _ids array<array<int>>"))
-
-
-def shares_of(sents: list, tells: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Share of the sentences (form, terms) that are about each subject. ``tells``: subject by term, the subject's share of the term."""
-    about = np.zeros(tells.shape[0])
-    for s in sents:
-        form = s[0]
-        if form >= 0 and counts[form] >= FORM_KNOWN:
-            about += tells[:, form] >= FORM_TELLS
-        elif len(ids := [i for i in s[1:] if i >= 0]):
-            about += tells[:, ids].max(1) >= TELLS
-    return about / max(1, len(sents))
+            labelled = [{column[x] for x in own} for own in batch.column(batch.schema.get_field_index("_own")).to_pylist()]
+            for at, per_doc, said, lang in sentence_shares(shared.value, batch):
+                ends = np.cumsum(per_doc)
+                for d, (end, size) in enumerate(zip(ends, per_doc)):
+                    if not size:
+                        continue
+                    own, mine = labelled[at + d], said[end - size : end]
+                    for i, limit in enumerate(LIMITS):
+                        got = set(np.flatnonzero((mine >= limit).sum(0) >= SHARE * size))
+                        score[lang[end - size : end].max(), i] += len(got & own), len(got), len(own)
+        g, i = np.indices(score.shape[:2]).reshape(2, -1)
+        flat = score.reshape(-1, 3)
+        yield pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), pa.array(i, pa.int32()), *[pa.array(flat[:, c], pa.float64()) for c in range(3)]], names=["g", "i", "both", "got", "own"])
+
+    rows = read.mapInArrow(run, "g int, i int, both double, got double, own double").groupBy("g", "i").agg(F.sum("both"), F.sum("got"), F.sum("own")).collect()
+    shared.unpersist()
+    score = np.zeros((len(LANGUAGES), len(LIMITS), 3))
+    for g, i, *three in rows:
+        score[g, i] = three
+    score += OTHERS * score.sum(0, keepdims=True)
+    out = np.full(len(LANGUAGES), LIMIT)
+    for g in range(len(LANGUAGES)):
+        f = 2 * score[g, :, 0] / np.maximum(score[g, :, 1] + score[g, :, 2], 1e-9)
+        if f.any():
+            out[g] = np.median(np.array(LIMITS)[f >= f.max() - 1e-9])
+    return out
 
 
 def prepare(df: DataFrame, key: str, text: str) -> DataFrame:
-    """_id, _sents: terms by sentence."""
+    """_id, _ids: coded terms by sentence."""
     kind = dict(df.dtypes)[key]
-    return settle(df.select(F.col(key).alias("_id"), F.col(text).alias("_text")).mapInArrow(_split, f"_id {kind}, _sents array<array<string>>"))
+    return settle(df.select(F.col(key).alias("_id"), F.col(text).alias("_text")).mapInArrow(_split, f"_id {kind}, _ids array<array<int>>"))
 
 
 def proportions(df: DataFrame, labels: DataFrame, subjects: list[str], key: str = "doc_id", text: str = "text", **how: int) -> DataFrame:
@@ -336,22 +410,33 @@ def proportions(df: DataFrame, labels: DataFrame, subjects: list[str], key: str
     Null, empty and blank texts are about nothing. Without labels no topic has a subject and the result is empty.
     Repeated keys are separate rows.
     """
-    prepared = prepare(df, key, text)
+    coded = prepare(df, key, text)
     known = labels.select(F.col(key).alias("_id"), normal("subject").alias("subject")).where(F.col("subject").isin(subjects) & F.col("_id").isNotNull()).distinct()
-    model, coded = fit(prepared, known, subjects, **how)
-    shared = df.sparkSession.sparkContext.broadcast((model.tells, model.counts))
+    shared = df.sparkSession.sparkContext.broadcast(fit(coded, known, subjects, **how))
+    kind = coded.schema["_id"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            ids = batch.column(batch.schema.get_field_index("_id"))
+            for at, per_doc, said, lang in sentence_shares(model, batch):
+                about = np.concatenate([np.zeros((1, said.shape[1])), np.cumsum(said >= model.limits[lang][:, None], axis=0)])
+                ends = np.cumsum(per_doc)
+                share = (about[ends] - about[ends - per_doc]) / np.maximum(per_doc, 1)[:, None]
+                doc, subject = np.nonzero(share)
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(at + doc)), pa.array([subjects[j] for j in subject], pa.string()), pa.array(share[doc, subject], pa.float64())], names=[key, "subject", "share"])
+
+    return coded.mapInArrow(run, f"`{key}` {kind.simpleString()}, subject string, share double")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tells, counts = shared.value
-        for pdf in batches:
-            out = [(i, subjects[j], float(x)) for i, sents in zip(pdf["_id"], pdf["_ids"]) for j, x in enumerate(shares_of(sents, tells, counts)) if x > 0]
-            yield pd.DataFrame(out, columns=[key, "subject", "share"])
 
-    return coded.mapInPandas(run, f"`{key}` {dict(prepared.dtypes)['_id']}, subject string, share double")
+#: Subjects are columns of the model; more than this are refused, not cut.
+MOST_SUBJECTS = 1_000
 
 
 def _shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    subjects = sorted(r.subject for r in table(spark, sf_dir, "subjects").select("subject").where("subject is not null").distinct().limit(1_000).collect())
+    subjects = sorted(r.subject for r in table(spark, sf_dir, "subjects").select("subject").where("subject is not null").distinct().limit(MOST_SUBJECTS + 1).collect())
+    if len(subjects) > MOST_SUBJECTS:
+        raise ValueError("more subjects than a model can hold")
     return proportions(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "doc_labels"), subjects)
 
 

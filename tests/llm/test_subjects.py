@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from corpuscle.llm.subjects import ALPHA, MIN_DOCS, _sums, fit, language, proportions, sentences_of, terms
+from corpuscle.llm.subjects import ALPHA, CHUNK, LANGUAGES, MIN_DOCS, PLACES, SETTLED, _added, _rows, _sums, _read, fit, language, place, prepare, proportions, sentences_of, settled, terms
 
 WORDS = {"law": ["verdict hearing", "penal code", "appeal court"], "sport": ["goal keeper", "relay team", "penalty kick"], "science": ["enzyme count", "photon field", "fossil layer"]}
 FRAMES = ["The {} is older than it looks.", "Nobody asked about the {} again.", "We come back to the {} soon."]
@@ -48,41 +48,45 @@ def test_without_labels_or_documents(spark):
 def test_language_sentences_terms():
     assert [language(t) for t in ["the end of it", "não é o que foi", "das ist nicht der Fall", "これは本です", "这只是开始", "यह है", "ครับ", "في عام", "12"]] == ["en", "pt", "de", "ja", "zh", "hi", "th", "ar", "other"]
     assert sentences_of("## part 1\nOne here. Two. ½") == ["One here.", "Two."]
-    assert terms("At Kovon 12 it was.", "en")[0] == terms("00:13 At Naro 7 it was", "en")[0]
+    assert terms("The cat, the cat of 12") == ["the", "the cat", "cat", "cat the", "cat of"] and terms("熊猫吃") == ["熊猫", "猫吃", "熊猫吃"]
 
 
-def test_every_term_of_enough_documents_is_kept(spark):
-    known = [f"\x02w{i}" for i in range(9_000)]
-    docs = [(i, [known]) for i in range(MIN_DOCS)] + [(MIN_DOCS + i, [["\x02rare", *known[:2]]]) for i in range(MIN_DOCS - 1)]
-    prepared = spark.createDataFrame(docs, "_id bigint, _sents array<array<string>>")
-    model, coded = fit(prepared, spark.createDataFrame([(0, "law")], "_id bigint, subject string"), ["law"], rounds=1)
-    assert set(model.index) == set(known)
-    ids = {r._id: r._ids[0] for r in coded.collect()}
-    assert all(-1 not in ids[i] for i in range(MIN_DOCS)) and all(ids[MIN_DOCS + i][0] == -1 for i in range(MIN_DOCS - 1))
+def test_only_places_of_enough_documents_are_known(spark):
+    docs = [(i, "alpha beta gamma" + (" delta" if i < MIN_DOCS - 1 else "")) for i in range(MIN_DOCS)]
+    coded = prepare(spark.createDataFrame(docs, "k bigint, t string"), "k", "t")
+    model = fit(coded, spark.createDataFrame([(0, "law")], "_id bigint, subject string"), ["law"], rounds=1)
+    block = LANGUAGES.index("other")
+    assert all(model.known[place(t, block)] for t in ("alpha", "alpha beta", "gamma")) and not model.known[place("delta", block)]
+    assert int(model.known.sum()) == 5 and np.allclose(model.beta.reshape(len(LANGUAGES), PLACES, -1).sum(1), 1, atol=1e-3)
 
 
-def test_proportions_settle_before_sums_are_taken():
+def test_proportions_settle():
     rng = np.random.default_rng(3)
     k, v = 4, 60
     beta = rng.dirichlet(np.ones(v), k).astype(np.float32)
-    docs = [rng.integers(0, v, n).tolist() for n in (5, 400, 30, 0, 120)]
-    want = np.zeros((k, v))
-    for d in docs:
+    docs = [rng.integers(0, v, n) for n in (5, 400, 30, 0, 120)]
+    got = settled(np.concatenate(docs), np.array([len(d) for d in docs]), beta.T.copy(), np.full((len(docs), k), ALPHA, np.float32))
+    for d, row in zip(docs, got):
         theta = np.full(k, 1.0 / k)
-        for _ in range(500 if d else 0):
+        for _ in range(500 if len(d) else 0):
             share = theta[:, None] * beta[:, d]
-            share /= share.sum(0)
-            theta = (ALPHA + share.sum(1)) / (k * ALPHA + len(d))
-        if d:
-            np.add.at(want.T, d, (theta[:, None] * beta[:, d] / (theta @ beta[:, d])).T)
+            theta = (ALPHA + (share / share.sum(0)).sum(1)) / (k * ALPHA + len(d))
+        assert np.abs(row - theta).max() < 20 * SETTLED
+
+
+def test_sums_add_up_over_chunks():
+    v = len(LANGUAGES) * PLACES
+    docs = pa.array([[[1, CHUNK + 1], [1]], [], [[v - 1]], None], pa.list_(pa.list_(pa.int32())))
 
     class Shared:
-        value = beta
+        value = (None, np.ones(v, bool))
 
-    batch = pa.RecordBatch.from_arrays([pa.array(docs, pa.list_(pa.int32()))], names=["_flat"])
-    (out,) = _sums(Shared, k, ALPHA)(iter([batch]))
-    got = np.stack([np.frombuffer(x, np.float32) for x in out.column(1).to_pylist()])
-    assert np.abs(got.sum(1) - want.sum(1)).max() < 0.01 * want.sum()
+    rows = [r for _ in range(3) for r in _sums(Shared, 1, ALPHA)(iter([pa.RecordBatch.from_arrays([docs], names=["_ids"])]))]
+    got = {}
+    for r in _added(1)(iter(rows)):
+        own, values = _read(r.column(2)[0].as_py(), 1)
+        got |= {r.column(0)[0].as_py() * CHUNK + int(o): float(x[0]) for o, x in zip(own, values)}
+    assert got == {1: 3.0, CHUNK + 1: 3.0, v - 1: 3.0} and not list(_rows(np.zeros((CHUNK, 2)), 0))
 
 
 def test_language_counts_the_whole_of_a_long_text():
