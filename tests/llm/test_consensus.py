@@ -1,7 +1,8 @@
 import datetime
 import random
 
-from corpuscle.llm.consensus import CHANCE, consensus, reliability
+from corpuscle.llm import consensus as consensus_module
+from corpuscle.llm.consensus import consensus, reliability
 
 T = datetime.datetime(2024, 1, 1)
 SCHEMA = "round string, coder string, window_id string, video_id string, function string, loop string, evidence_type string, scale string, density int, annotated_at timestamp_ntz"
@@ -25,7 +26,7 @@ def planted(spark, seed=1, windows=220):
 def test_planted_coders_and_truth(spark):
     df, truth = planted(spark)
     got = {r.coder: r for r in reliability(df).where("field = 'loop'").collect()}
-    assert {c for c, r in got.items() if r.corrected <= CHANCE} == {"random", "constant", "contrary"}
+    assert {c for c, r in got.items() if r.corrected <= r.chance_limit} == {"random", "constant", "contrary"}
     assert got["weak"].ability < got["good0"].ability
     labels = {r.window_id: r.label for r in consensus(df).where("field = 'loop'").collect()}
     assert sum(labels[w] == z for w, z in truth.items()) > 0.93 * len(truth)
@@ -39,3 +40,10 @@ def test_no_labels_alone_and_empty(spark):
     got = {(r.coder, r.field): r.corrected for r in reliability(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert set(got) == {("c", "loop"), ("d", "loop"), ("c", "density"), ("d", "density")}
     assert reliability(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_joined_abilities_give_the_same(spark, monkeypatch):
+    df, _ = planted(spark, seed=2, windows=40)
+    want = {(r.field, r.coder): round(r.corrected, 6) for r in reliability(df).collect()}
+    monkeypatch.setattr(consensus_module, "MOST_BROADCAST", 3)
+    assert {(r.field, r.coder): round(r.corrected, 6) for r in reliability(df).collect()} == want
