@@ -170,12 +170,19 @@ def settled(flat: np.ndarray, sizes: np.ndarray, beta: np.ndarray, prior: np.nda
     return theta
 
 
-def _documents(batch: pa.RecordBatch, known: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first document, one behind the last, known terms, their number by sentence, sentences by document), BATCH_TERMS at a time."""
+def _row_of(known: np.ndarray) -> np.ndarray:
+    """The row of each place among the known ones, -1 for others."""
+    row = np.full(len(LANGUAGES) * PLACES, -1, np.int32)
+    row[known] = np.arange(len(known))
+    return row
+
+
+def _documents(batch: pa.RecordBatch, row: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first document, one behind the last, rows of known terms, their number by sentence, sentences by document), BATCH_TERMS at a time."""
     docs = batch.column(batch.schema.get_field_index("_ids"))
     sents = docs.flatten()
-    flat = sents.flatten().to_numpy(zero_copy_only=False)
-    keep = known[flat]
+    flat = row[sents.flatten().to_numpy(zero_copy_only=False)]
+    keep = flat >= 0
     upto = np.concatenate([[0], np.cumsum(keep)])
     low, base = sents.offsets.to_numpy(), docs.offsets.to_numpy()
     low, base = upto[low - low[0]], base - base[0]
@@ -211,19 +218,20 @@ def _read(body: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sums(shared, k: int, alpha: float):
-    """Topic-term sums of documents under (topics, known places); without topics, the number of documents of each place."""
+    """Topic-term sums of documents under (topics, known places); without either, the number of documents of each place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         beta, known = shared.value
-        total = np.zeros((len(known), k), np.float32)
+        row = np.arange(len(LANGUAGES) * PLACES) if known is None else _row_of(known)
+        total = np.zeros((len(row) if known is None else len(known), k), np.float32)
         for batch in batches:
-            for _, _, flat, per_sentence, per_doc in _documents(batch, known):
+            for _, _, flat, per_sentence, per_doc in _documents(batch, row):
                 sizes = _by_document(per_sentence, per_doc)
                 own = np.repeat(np.arange(len(sizes)), sizes)
                 if beta is None:
-                    once = np.unique(own * np.int64(len(known)) + flat) % len(known)
+                    once = np.unique(own * np.int64(len(row)) + flat) % len(row)
                     np.add.at(total, once, 1)
                     continue
                 theta = settled(flat, sizes, beta, np.full((len(sizes), k), alpha, np.float32))
@@ -271,62 +279,61 @@ def _total(coded: DataFrame, shared, k: int, places: int) -> np.ndarray:
 
 
 class Topics:
-    """A fitted model: topics (place by topic, each normal within a language), known places, topics of each subject and limit of a sentence by language."""
+    """A fitted model: known places, topics (row of a place by topic, each normal within a language), topics of each subject and limit of a sentence by language."""
 
-    def __init__(self, beta: np.ndarray, known: np.ndarray, subject_of: np.ndarray, limits: np.ndarray):
-        self.beta, self.known, self.subject_of, self.limits = beta, known, subject_of, limits
+    def __init__(self, known: np.ndarray, beta: np.ndarray, subject_of: np.ndarray, limits: np.ndarray):
+        self.known, self.beta, self.subject_of, self.limits = known, beta, subject_of, limits
 
 
-def _normal(lam: np.ndarray) -> np.ndarray:
-    blocks = lam.reshape(len(LANGUAGES), PLACES, -1)
-    return (blocks / np.maximum(blocks.sum(1, keepdims=True), 1e-30)).reshape(lam.shape).astype(np.float32)
+def _normal(lam: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    whole = np.zeros((len(LANGUAGES), lam.shape[1]))
+    np.add.at(whole, lang, lam)
+    return (lam / np.maximum(whole[lang], 1e-30)).astype(np.float32)
 
 
 def fit(coded: DataFrame, labels: DataFrame, subjects: list[str], rounds: int = ROUNDS, labelled: int = LABELLED) -> Topics:
     """LDA over all of ``coded`` (_id, _ids), started from at most ``labelled`` rows of ``labels`` (_id, subject).
 
-    Languages have their own terms, so each topic is one distribution per language.
+    Languages have their own terms, so each topic is one distribution per language. A model has at most LANGUAGES x PLACES rows, so
+    it may be broadcast; only rows of known places are.
     """
     spark = coded.sparkSession
-    k, n, v = len(subjects) + OTHER_TOPICS, len(subjects), len(LANGUAGES) * PLACES
+    k, n = len(subjects) + OTHER_TOPICS, len(subjects)
 
     def share(*what):
         return spark.sparkContext.broadcast(what)
 
-    every = share(None, np.ones(v, bool))
-    counts = _total(coded, every, 1, v)[:, 0]
-    every.unpersist()
-    known = counts >= MIN_DOCS
+    every = share(None, None)
+    counts = _total(coded, every, 1, len(LANGUAGES) * PLACES)[:, 0]
+    every.destroy()
+    known = np.flatnonzero(counts >= MIN_DOCS).astype(np.int32)
+    row, lang, v = _row_of(known), known // PLACES, len(known)
 
     drawn = settle(labels.orderBy(F.xxhash64("_id"), "_id", "subject").limit(labelled))
     read = settle(coded.join(drawn.groupBy("_id").agg(F.collect_set("subject").alias("_own")), "_id"))
     seen = read.select(F.explode("_own").alias("subject"), (F.lit(1.0) / F.size("_own")).alias("_w"), F.array_distinct(F.flatten("_ids")).alias("_t")).select("subject", "_w", F.explode("_t").alias("term"))
     seeds = seen.groupBy("subject", "term").agg(F.sum("_w").alias("w")).toPandas()
-    start = np.zeros((v, n), np.float32)
     column = {s: i for i, s in enumerate(subjects)}
-    np.add.at(start, (seeds["term"].to_numpy(np.int64), seeds["subject"].map(column).to_numpy(np.int64)), seeds["w"].to_numpy(np.float32))
-    start[~known] = 0
+    at = row[seeds["term"].to_numpy(np.int64)]
+    start = np.zeros((v, n), np.float32)
+    np.add.at(start, (at[at >= 0], seeds["subject"].map(column).to_numpy(np.int64)[at >= 0]), seeds["w"].to_numpy(np.float32)[at >= 0])
     told = start.sum(1, keepdims=True)
     prior = start.sum(0, keepdims=True) / max(1e-9, start.sum())
     # What labels say of a term beyond chance: a term whose labels are spread as all labels are says nothing.
     pure = start / np.maximum(told, 1e-9)
     strong = ((pure > np.maximum(0.5, 2 * prior)) * pure * told / (told + 1)).astype(np.float32)
-    del start, told, pure
-    seen_in = np.where(known, counts, 0).astype(np.float32)[:, None]
-    first = strong * seen_in
+    docs = counts[known].astype(np.float32)[:, None]
     rng = np.random.default_rng(0)
-    rest = (1 - np.minimum(1, strong.sum(1, keepdims=True))) * seen_in / OTHER_TOPICS
-    lam = np.concatenate([ETA + first + 0.02 * seen_in, ETA + rest * rng.uniform(0.6, 1.4, (v, OTHER_TOPICS)).astype(np.float32)], 1)
-    del rest
+    rest = (1 - np.minimum(1, strong.sum(1, keepdims=True))) * docs / OTHER_TOPICS
+    lam = np.concatenate([ETA + strong * docs + 0.02 * docs, ETA + rest * rng.uniform(0.6, 1.4, (v, OTHER_TOPICS)).astype(np.float32)], 1)
     for _ in range(rounds):
-        shared = share(_normal(lam), known)
+        shared = share(_normal(lam, lang), known)
         lam = _total(coded, shared, k, v) + ETA
-        shared.unpersist()
+        shared.destroy()
     # Inspection, by language: a topic belongs to the subject that its top terms were labelled with, if they agree.
     subject_of = np.full((len(LANGUAGES), k), -1)
     for g in range(len(LANGUAGES)):
-        own = slice(g * PLACES, (g + 1) * PLACES)
-        places = np.flatnonzero(known[own]) + g * PLACES
+        places = np.flatnonzero(lang == g)
         mass = lam[places] / lam[places].sum(1, keepdims=True)
         for j in range(k):
             top = places[np.argsort(-(mass[:, j] * np.log1p(lam[places, j])))[:TOP_TERMS]]
@@ -334,7 +341,7 @@ def fit(coded: DataFrame, labels: DataFrame, subjects: list[str], rounds: int =
             b = int(votes.argmax()) if n else 0
             if len(top) and n and votes[b] > 0.6 * votes.sum() and votes[b] > 0.1 * len(top):
                 subject_of[g, j] = b
-    model = Topics(_normal(lam), known, subject_of, np.full(len(LANGUAGES), LIMIT))
+    model = Topics(known, _normal(lam, lang), subject_of, np.full(len(LANGUAGES), LIMIT))
     model.limits = _limits(model, read, subjects)
     return model
 
@@ -342,7 +349,7 @@ def fit(coded: DataFrame, labels: DataFrame, subjects: list[str], rounds: int =
 def sentence_shares(model: Topics, batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first document, sentences by document, sentence by subject, language by sentence): what the subjects' topics have of each sentence's proportions."""
     k, n = model.beta.shape[1], int(model.subject_of.max(initial=-1)) + 1
-    for at, _, flat, per_sentence, per_doc in _documents(batch, model.known):
+    for at, _, flat, per_sentence, per_doc in _documents(batch, _row_of(model.known)):
         own = np.repeat(np.arange(len(per_doc)), per_doc)
         theta = settled(flat, _by_document(per_sentence, per_doc), model.beta, np.full((len(per_doc), k), ALPHA, np.float32))
         folded = settled(flat, per_sentence, model.beta, (ALPHA + CONTEXT * theta[own]).astype(np.float32))
@@ -352,7 +359,7 @@ def sentence_shares(model: Topics, batch: pa.RecordBatch) -> Iterator[tuple[int,
         starts = np.concatenate([[0], np.cumsum(per_sentence)])[:-1]
         lang = np.zeros(len(per_sentence), np.int64)
         some = per_sentence > 0
-        lang[some] = flat[starts[some]] // PLACES
+        lang[some] = model.known[flat[starts[some]]] // PLACES
         out = np.zeros((len(per_sentence), n), np.float32)
         for j in range(k):
             to = model.subject_of[lang, j]
@@ -384,7 +391,7 @@ def _limits(model: Topics, read: DataFrame, subjects: list[str]) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), pa.array(i, pa.int32()), *[pa.array(flat[:, c], pa.float64()) for c in range(3)]], names=["g", "i", "both", "got", "own"])
 
     rows = read.mapInArrow(run, "g int, i int, both double, got double, own double").groupBy("g", "i").agg(F.sum("both"), F.sum("got"), F.sum("own")).collect()
-    shared.unpersist()
+    shared.destroy()
     score = np.zeros((len(LANGUAGES), len(LIMITS), 3))
     for g, i, *three in rows:
         score[g, i] = three

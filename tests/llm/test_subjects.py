@@ -56,8 +56,8 @@ def test_only_places_of_enough_documents_are_known(spark):
     coded = prepare(spark.createDataFrame(docs, "k bigint, t string"), "k", "t")
     model = fit(coded, spark.createDataFrame([(0, "law")], "_id bigint, subject string"), ["law"], rounds=1)
     block = LANGUAGES.index("other")
-    assert all(model.known[place(t, block)] for t in ("alpha", "alpha beta", "gamma")) and not model.known[place("delta", block)]
-    assert int(model.known.sum()) == 5 and np.allclose(model.beta.reshape(len(LANGUAGES), PLACES, -1).sum(1), 1, atol=1e-3)
+    assert set(model.known) == {place(t, block) for t in ("alpha", "beta", "gamma", "alpha beta", "beta gamma")}
+    assert np.allclose(model.beta.sum(0), 1, atol=1e-3)
 
 
 def test_proportions_settle():
@@ -79,7 +79,7 @@ def test_sums_add_up_over_chunks():
     docs = pa.array([[[1, CHUNK + 1], [1]], [], [[v - 1]], None], pa.list_(pa.list_(pa.int32())))
 
     class Shared:
-        value = (None, np.ones(v, bool))
+        value = (None, None)
 
     rows = [r for _ in range(3) for r in _sums(Shared, 1, ALPHA)(iter([pa.RecordBatch.from_arrays([docs], names=["_ids"])]))]
     got = {}
