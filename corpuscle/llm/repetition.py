@@ -23,12 +23,12 @@ from corpuscle.sources.tables import current_rows, table
 PASSAGE, CASE_SHARE = 12, 0.4
 #: Documents that the list is learned from: those least by hash of their key.
 SAMPLE, SAMPLE_PARTS = 4_000, 16
-#: Characters of the short runs of the cheap statistics.
-GRAM = 6
+#: Characters of the short runs of the cheap statistics; a text of more than UNSPACED characters a word is in a script without spaces.
+GRAM, UNSPACED = 6, 12
 #: A rule may call so many documents that aren't cases, for each that is: what an exact check behind it costs against what a miss costs.
 FALSE_PER_TRUE = 1.0
 
-FEATURES = ["word_share", "gram_share", "stretch_share", "size"]
+FEATURES = ["word_share", "pair_share", "gram_share", "size"]
 
 
 def letters(text: str) -> str:
@@ -59,17 +59,22 @@ def exact(text: str | None, passage: int = PASSAGE) -> tuple[int, float]:
 
 
 def with_features(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with FEATURES: shares of words, of short runs of characters and of every GRAM-th run that occurred before, log of size.
+    """``df`` with FEATURES: shares of words, of pairs of words and of short runs of characters that occurred before, log of size.
 
-    Expressions only. Null and empty texts have 0 of all.
+    Runs of characters are looked at only where white space parts few words, pairs of words elsewhere. Expressions only. Null and empty
+    texts have 0 of all.
     """
     low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    df = once(df, _chars=F.split(F.regexp_replace(low, r"[^\p{L}\p{Nd}]", ""), ""), _words=F.filter(F.split(low, r"\s+"), lambda w: w != ""))
+    df = once(df, _words=F.filter(F.split(low, r"[^\p{L}\p{Nd}]+"), lambda w: w != ""), _low=low)
+    unspaced = F.length("_low") > UNSPACED * F.size(F.split("_low", r"\s+"))
+    df = once(df, _chars=F.when(unspaced, F.split(F.regexp_replace("_low", r"[^\p{L}\p{Nd}]", ""), "")).otherwise(F.array().cast("array<string>")), _spaced=~unspaced)
     run = "concat(" + ", ".join(f"_chars[i + {k}]" for k in range(GRAM)) + ")"
-    runs = lambda stride: F.expr(f"IF(size(_chars) < {GRAM}, array(), transform(sequence(0, greatest(size(_chars) - {GRAM}, 0), {stride}), i -> {run}))")
+    runs = F.expr(f"IF(size(_chars) < {GRAM}, array(), transform(sequence(0, greatest(size(_chars) - {GRAM}, 0)), i -> {run}))")
+    pairs = F.expr("IF(_spaced AND size(_words) > 1, transform(sequence(0, greatest(size(_words) - 2, 0)), i -> concat(_words[i], ' ', _words[i + 1])), array())")
     again = lambda x: F.when(F.size(x) > 1, F.lit(1.0) - F.size(F.array_distinct(x)) / F.size(x)).otherwise(F.lit(0.0))
-    df = once(df, _runs=runs(1), _steps=runs(GRAM))
-    return df.select("*", again("_words").alias("word_share"), again("_runs").alias("gram_share"), again("_steps").alias("stretch_share"), F.log1p(F.size("_chars").cast("double")).alias("size")).drop("_chars", "_words", "_runs", "_steps")
+    df = once(df, _runs=runs, _pairs=pairs)
+    df = df.select("*", again("_words").alias("word_share"), again("_pairs").alias("pair_share"), again("_runs").alias("gram_share"), F.log1p(F.length("_low").cast("double")).alias("size"))
+    return df.drop("_words", "_low", "_chars", "_spaced", "_runs", "_pairs")
 
 
 def with_shares(df: DataFrame, keys: list[str], text: str, passage: int = PASSAGE) -> DataFrame:
