@@ -1,8 +1,9 @@
 """Problem 5: raw caption fragments become clean, ordered speaker turns.
 
-Layouts are mined first: the head of every line, and whatever looks like a label in it, is masked token by token (letters,
-digits) to a path in a token tree of fixed depth. A path whose first slot holds the fragment's own start time is a time-stamp
-layout; one whose slot holds members of the channel's cast is a speaker layout. Only those layouts are extracted.
+Line templates are mined first. A lexer that knows words, numbers and symbols, but no label and no time stamp, lays every place that
+could be a slot into a token tree of fixed depth: the symbols before the slot, the shape of what fills it, the symbols behind it. What a slot
+means follows from its fillers over all lines: a number slot whose values agree with the fragments' own start times is a time stamp, a word slot
+that members of the channel's cast fill is a speaker label. Only slots of such templates are taken out of the lines.
 Words then follow the voice at hand, in order of start; a voice's words up to another voice's words are one turn.
 """
 
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,16 +24,18 @@ from corpuscle.operators.sequence import last_known, null_safe, running_sum
 from corpuscle.session import settle
 from corpuscle.sources.tables import current_rows, table
 
-#: Tokens of a layout's path.
-DEPTH = 6
-#: A time stamp may differ from the fragment's start by so many seconds; a stamp layout needs this share of slots that fit.
+#: Tokens that a slot can hold, and symbols or words that a template keeps on either side of it.
+DEPTH, SIDE = 4, 6
+#: A time stamp may differ from the fragment's start by so many seconds; a stamp slot needs this share of fillers that fit.
 STAMP_S, STAMP_SHARE = 2.0, 0.5
-#: A speaker layout may share its form with sound notes, and a cast name doesn't stand in a slot by chance.
+#: A speaker slot may share its template with sound notes, and a cast name doesn't stand in a slot by chance.
 LABEL_SHARE = 0.05
 #: Rows (by seconds of start) of a block.
 BLOCK_S = 600
 #: Layouts are bounded by their alphabet and depth; more accepted ones than this are an error, not a truncation.
 MOST_LAYOUTS = 10_000
+#: Casts of up to so many bytes are broadcast, larger ones are joined.
+MOST_CAST_BYTES = 16 << 20
 
 # Hesitation sounds. UM is a word in some languages and a sound in others.
 HESITATION = re.compile(
@@ -39,35 +43,40 @@ HESITATION = re.compile(
     r"え[ーえ]+と?|えっと|あの[ーう]+|う[ーう]+ん|嗯+|呃+|唔+|अं+|उम्+|हम्म+|เอ่อ+|อืม+|อ่า+|آه+|ام+م|إم+م|ا?مم+)",
     re.IGNORECASE,
 )
-# Words of lines that, read without their video, show that UM is a word there.
-UM_IS_A_WORD = {"de", "que", "por", "em", "do", "da", "os", "com", "para", "existe", "nada", "foi", "era", "só", "até", "você", "uma", "não", "der", "die", "das", "und", "wir", "ist", "war", "stieg", "ein", "eine", "wert", "prozent", "por", "cento", "tempo", "detalhe", "há", "dos", "disse", "er", "es", "im", "kam"}
 #: Frequent words that only languages with the word UM have, and those of the other languages in Latin letters.
-UM_WORDS = "não você uma do da os é já foi em ninguém até mais pelo pela isso der die das und nicht ist wir zur mit wie ein eine sich auch für von war".split()
+UM_WORDS = "não nada você uma do da os é já foi em ninguém até mais pelo pela isso der die das und nicht ist wir zur mit wie ein eine sich auch für von war er dem den".split()
 OTHER_WORDS = "the and of was that it with you they this from el los las y hay una sin nadie muy pero le les et est dans une pas rien plus ce".split()
+_UM_WORDS, _OTHER_WORDS = set(UM_WORDS), set(OTHER_WORDS)
 ROLES = ("host", "guest", "narrator", "expert")
 
-STAMP = re.compile(r"\s*([\[(]?)(\d{1,4}(?::\d{1,2}){1,2})(?:[.,](\d{1,3}))?([\])]?)\s*(-->|-|–|\||:)?(?=\s|$)\s*")
-NOTE = re.compile(r"\[[^\[\]]+\]|\([^()]{1,40}\)|<[^<>]{1,40}>|\*[^*\s][^*]{0,38}\*|【[^】]+】|（[^（）]{1,40}）|♪[^♪]{0,80}♪|[♪♫]")
-NAME = r"[^\W\d_][\w'’-]*\.?(?:_\d+)?"
-LABEL = re.compile(
-    rf"(?P<sign>>>+\s?|(?<!\S)[-–]\s)?(?:"
-    rf"<v\s+(?P<v>[^<>]{{1,60}})>|"
-    rf"(?P<open>[\[(])(?P<b>{NAME}(?:\s{NAME}){{0,3}})[\])](?P<bcolon>\s?:(?=\s|$))?|"
-    rf"(?P<c>{NAME}(?:\s{NAME}){{0,3}})(?:\s\((?P<role>[^()]{{1,20}})\))?\s?[:：](?=\s|$))"
-)
+NOTE = re.compile(r"\[[^\[\]]+\]|\([^()]+\)|<[^<>]+>|\*[^*\s][^*]*\*|【[^】]+】|（[^（）]+）|♪[^♪]*♪|[♪♫]")
 _NOTES = re.compile(r"[\[(<*【（♪♫]")
-_SIGNS = re.compile(r"[:：<\[(]")
+
+# The lexer: a word (with what joins words, a numbered suffix and the stop of an initial), a number (groups with what joins them), symbols.
+_WORD = r"[^\W\d_][\w'’-]*\.?"
+_SYMBOL = r"[\p{P}\p{S}]"
+#: A place for a number: at the head of a line only, with the symbols around it and a joining symbol behind it.
+NUMBER_SLOT = regex.compile(rf"\s*(?P<left>{_SYMBOL}*)\s?(?P<slot>\d+(?:[^\s\d\[\](){{}}<>]{{1,2}}\d+)*)(?P<unit>[^\W\d_]{{0,3}})(?P<right>{_SYMBOL}*)(?P<tail>\s+(?!>+(?:\s|$))[\p{{Pd}}\p{{Sm}}|:]+)?(?=\s|$)\s*")
+#: A place for words: a run of them between symbols, or up to symbols that aren't just the stops and commas of speech.
+WORD_SLOT = regex.compile(
+    rf"(?P<left>(?:{_SYMBOL}+\s?)*)(?:(?<={_SYMBOL})(?P<lead>[^\W\d_]\s))?(?<![\w'’-])(?P<slot>{_WORD}(?:\s{_WORD}){{0,{DEPTH - 1}}})"
+    rf"(?P<right>(?:\s?\((?P<aside>[^()\s]+)\))?(?!\s?[\p{{Ps}}\p{{Pi}}<])(?!\s[*♪\"])\s?(?![.,!?…;'’\"”]+(?:\s|$)){_SYMBOL}+)"
+)
+_SIGNS = regex.compile(r"(?![.,!?…;'’\"”-])[\p{P}\p{S}]")
 CHANGE = re.compile(r">>+\s*")
 WORD = re.compile(r"[^\W_]+", re.UNICODE)
 
 
 def mask(text: str) -> str:
-    """Letters and digits of a line's tokens by class: AA upper, Aa title, a lower, 9 digits; at most DEPTH tokens."""
-    tokens = []
-    for t in text.split()[:DEPTH]:
-        t = re.sub(r"[^\W\d_]+", lambda m: "AA" if m[0].isupper() and len(m[0]) > 1 else "A" if m[0].isupper() else "Aa" if m[0][0].isupper() else "a", t)
-        tokens.append(re.sub(r"\d+", "9", t))
-    return " ".join(tokens)
+    """Letters and digits of a text by class, DEPTH tokens at most: AA upper, Aa title, a lower, 9 digits; symbols stay."""
+    text = " ".join(text.split(None, DEPTH)[:DEPTH])
+    text = re.sub(r"[^\W\d_]+", lambda m: "AA" if m[0].isupper() and len(m[0]) > 1 else "A" if m[0].isupper() else "Aa" if m[0][0].isupper() else "a", text)
+    return re.sub(r"\d+", "9", text)
+
+
+def path(kind: str, left: str, slot: str, right: str) -> str:
+    """A leaf of the token tree: symbols before the slot, shape of the slot, symbols behind it."""
+    return f"{kind} {mask(left.strip())[-SIDE:]}|{mask(slot)}|{mask(right.strip())[:SIDE]}"
 
 
 def near(a: str, b: str) -> bool:
@@ -129,50 +138,62 @@ def cast_of(members: str | None) -> Cast:
     return Cast(tuple(tuple(x or "" for x in m) for m in json.loads(members)) if members else ())
 
 
+def readings(groups: list[int], fraction: float) -> Iterator[float]:
+    """Seconds that the groups of a number may mean: in sixties, in sixties with a fraction, as they stand or in thousandths."""
+    value = 0
+    for g in groups:
+        value = value * 60 + g
+    yield value
+    if len(groups) > 1:
+        yield (value - groups[-1]) / 60 + fraction
+    else:
+        yield groups[0] / 1000
+
+
 def stamp(text: str, start: float | None) -> tuple[str, int, bool] | None:
-    """(layout, where the text after it begins, whether it tells the start) of a time stamp at the head of a line."""
-    m = STAMP.match(text)
-    if not m or bool(m[1]) != bool(m[4]):
+    """(template, where the text after it begins, whether the slot tells the start) of the number at the head of a line."""
+    m = NUMBER_SLOT.match(text)
+    if not m:
         return None
-    value = 0
-    for part in m[2].split(":"):
-        value = value * 60 + int(part)
-    return "T " + mask(m[0].strip()), m.end(), start is not None and abs(value - start) <= STAMP_S
+    digits = re.findall(r"\d+", m["slot"])
+    fits = False
+    if start is not None and len(digits) <= 4 and all(len(d) < 12 for d in digits):
+        fits = any(abs(x - start) <= STAMP_S for x in readings([int(d) for d in digits], float("0." + digits[-1])))
+    return path("T", m["left"], m["slot"] + m["unit"], m["right"] + (m["tail"] or "")), m.end(), fits
 
 
 def labels(text: str, cast: Cast) -> Iterator[tuple[str, int, int, str | None]]:
-    """(layout, begin, end, speaker or None) of what looks like a label."""
+    """(template, begin, end, speaker or None) of every place for words.
+
+    The words of a slot are the last ones before its symbols that name somebody; words before those are speech.
+    """
     if not _SIGNS.search(text):
         return
     at = 0
-    while m := LABEL.search(text, at):
+    while m := WORD_SLOT.search(text, at):
         begin, end = m.span()
         at = end
-        if m["v"] is not None:
-            yield "L " + mask(m[0]), begin, end, cast.find(m["v"])
-            continue
-        if m["b"] is not None:
-            who = None if m["b"].islower() and m["b"] in ROLES else cast.find(m["b"])
-            yield "L " + mask(m[0]), begin, end, who
-            continue
-        # Only the last words before the colon are the label; the words before them are speech.
-        words = list(re.finditer(r"\S+", m["c"]))
-        base = m.start("c")
+        base, left, lead = m.start("slot"), m["left"], m["lead"] or ""
+        words = list(re.finditer(r"\S+", m["slot"]))
         found = None
-        for take in (2, 1, 3):
+        enclosed = left[-1:].strip() != "" or bool(lead)
+        for take in (len(words),) if enclosed else (2, 1, 3):
             if take <= len(words):
                 s = words[-take].start()
-                who = cast.find(m["c"][s:])
-                if who is None and take == 2 and m["role"] and m["role"].lower() in ROLES and s == 0:
-                    who = cast.find(m["role"])
+                name = m["slot"][s:]
+                # A role's bare name in brackets is a remark on the speaker named outside them.
+                who = None if enclosed and not lead and name.islower() and name in ROLES else cast.find(name)
+                if who is None and s == 0 and m["aside"] and m["aside"].lower() in ROLES:
+                    who = cast.find(m["aside"])
                 if who is not None:
-                    found = (base + s, who)
+                    found = (s, who)
                     break
         if found is None:
-            yield "L " + mask(m[0]), begin, end, None
+            yield path("L", left + lead, m["slot"], m["right"]), begin, end, None
+        elif found[0] == 0:
+            yield path("L", left + lead, m["slot"], m["right"]), begin, end, found[1]
         else:
-            b = begin if found[0] == base else found[0]
-            yield "L " + mask(text[b:end]), b, end, found[1]
+            yield path("L", "", m["slot"][found[0] :], m["right"]), base + found[0], end, found[1]
 
 
 def mine(text: str, start: float | None, cast: Cast) -> Iterator[tuple[str, bool]]:
@@ -201,7 +222,7 @@ def clean(text: str, um_is_a_word: bool | None = None) -> tuple[str, bool]:
     if not words:
         return "", False
     low = {w.lower() for w in words}
-    word = bool(low & UM_IS_A_WORD) if um_is_a_word is None else um_is_a_word
+    word = len(low & _UM_WORDS) > len(low & _OTHER_WORDS) if um_is_a_word is None else um_is_a_word
     um = "um" in low and (not word or all(w == "um" or HESITATION.fullmatch(w) for w in low))
     if not any(HESITATION.fullmatch(w) for w in low) and not um:
         return " ".join(text.split()), True
@@ -236,26 +257,42 @@ def units(text: str | None, start: float | None, cast: Cast, layouts: frozenset[
     return out
 
 
-def _mine_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        seen, fits = Counter(), Counter()
-        for text, start, cast in zip(pdf["text"], pdf["start"], pdf["cast"]):
-            if text:
-                for layout, fit in mine(text, None if pd.isna(start) else start, cast_of(cast)):
-                    seen[layout] += 1
-                    fits[layout] += fit
-        yield pd.DataFrame({"layout": list(seen), "n": list(seen.values()), "fit": [fits[k] for k in seen]}).astype({"layout": "object", "n": "int64", "fit": "int64"})
+class Casts:
+    """The casts of all channels: a broadcast where they are small, else JSON joined to every row (``cast``)."""
+
+    def __init__(self, shared):
+        self.shared = shared
 
+    def of(self, pdf: pd.DataFrame) -> Iterator[Cast]:
+        if self.shared is None:
+            return (cast_of(c) for c in pdf["cast"])
+        known = self.shared.value
+        return (cast_of(known.get(None if pd.isna(c) else c)) for c in pdf["channel"])
 
-def _prepared(fragments: DataFrame, speakers: DataFrame) -> DataFrame:
-    rows = current_rows(fragments.select("video_id", "frag_idx", "channel", F.col("start").cast("double").alias("start"), F.col("text").cast("string").alias("text"), "loaded_at"), ["video_id", "frag_idx"])
-    cast = speakers.where("speaker_id is not null").groupBy(F.col("channel").alias("_ch")).agg(F.to_json(F.array_sort(F.collect_set(F.array("speaker_id", "full_name", "role", "diar_label")))).alias("cast"))
-    return rows.drop("loaded_at").join(cast, F.col("channel").eqNullSafe(F.col("_ch")), "left").drop("_ch")
 
+def _prepared(fragments: DataFrame, speakers: DataFrame) -> tuple[DataFrame, Casts]:
+    rows = current_rows(fragments.select("video_id", "frag_idx", "channel", F.col("start").cast("double").alias("start"), F.col("text").cast("string").alias("text"), "loaded_at"), ["video_id", "frag_idx"]).drop("loaded_at")
+    cast = settle(speakers.where("speaker_id is not null").groupBy(F.col("channel").alias("_ch")).agg(F.to_json(F.array_sort(F.collect_set(F.array("speaker_id", "full_name", "role", "diar_label")))).alias("cast")))
+    if (cast.agg(F.sum(F.octet_length("cast")).alias("n")).first().n or 0) <= MOST_CAST_BYTES:
+        shared = fragments.sparkSession.sparkContext.broadcast({r._ch: r.cast for r in cast.collect()})
+        return rows.withColumn("cast", F.lit(None).cast("string")), Casts(shared)
+    return rows.join(cast, F.col("channel").eqNullSafe(F.col("_ch")), "left").drop("_ch"), Casts(None)
+
+
+def mined_layouts(prepared: DataFrame, casts: Casts) -> DataFrame:
+    """layout, n, fit: every leaf of the token tree with how often its slot's filler fits, a time or a member of the cast."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            seen, fits = Counter(), Counter()
+            for text, start, cast in zip(pdf["text"], pdf["start"], casts.of(pdf)):
+                if text:
+                    for layout, fit in mine(text, None if pd.isna(start) else start, cast):
+                        seen[layout] += 1
+                        fits[layout] += fit
+            yield pd.DataFrame({"layout": list(seen), "n": list(seen.values()), "fit": [fits[k] for k in seen]}).astype({"layout": "object", "n": "int64", "fit": "int64"})
 
-def mined_layouts(prepared: DataFrame) -> DataFrame:
-    """layout, n, fit: every path of the token tree with how often its slot fits."""
-    return prepared.select("text", "start", "cast").mapInPandas(_mine_batches, "layout string, n bigint, fit bigint").groupBy("layout").agg(F.sum("n").alias("n"), F.sum("fit").alias("fit"))
+    return prepared.select("text", "start", "channel", "cast").mapInPandas(run, "layout string, n bigint, fit bigint").groupBy("layout").agg(F.sum("n").alias("n"), F.sum("fit").alias("fit"))
 
 
 def _um_videos(prepared: DataFrame) -> DataFrame:
@@ -274,8 +311,9 @@ def spoken(fragments: DataFrame, speakers: DataFrame) -> DataFrame:
     ``>>`` without a name changes to the other of the video's two voices: of the two named ones, or of the named one and
     the narrator; with more voices, to the one named before. A null start comes first, equal starts go by frag_idx.
     """
-    prepared = settle(_prepared(fragments, speakers))
-    good = mined_layouts(prepared).where(F.col("fit") >= F.col("n") * F.when(F.col("layout").startswith("T "), STAMP_SHARE).otherwise(LABEL_SHARE)).select("layout").limit(MOST_LAYOUTS + 1).collect()
+    prepared, casts = _prepared(fragments, speakers)
+    prepared = settle(prepared)
+    good = mined_layouts(prepared, casts).where("fit > 0").where(F.col("fit") >= F.col("n") * F.when(F.col("layout").startswith("T "), STAMP_SHARE).otherwise(LABEL_SHARE)).select("layout").limit(MOST_LAYOUTS + 1).collect()
     if len(good) > MOST_LAYOUTS:
         raise ValueError("more layouts than lines can have")
     layouts = frozenset(r.layout for r in good)
@@ -285,16 +323,15 @@ def spoken(fragments: DataFrame, speakers: DataFrame) -> DataFrame:
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for video, frag, start, text, cast, um in zip(pdf["video_id"], pdf["frag_idx"], pdf["start"], pdf["text"], pdf["cast"], pdf["um"]):
+            for video, frag, start, text, who, um in zip(pdf["video_id"], pdf["frag_idx"], pdf["start"], pdf["text"], casts.of(pdf), pdf["um"]):
                 at = None if pd.isna(start) else start
-                who = cast_of(cast)
                 for k, (name, change, words, some) in enumerate(units(text, at, who, layouts, None if pd.isna(um) else bool(um))):
                     out.append((video, frag, at, k, name, int(change), words if some else None, who.narrator))
             yield pd.DataFrame(out, columns=["video_id", "frag_idx", "start", "unit", "named", "change", "text", "narrator"])
 
     kinds = dict(prepared.dtypes)
     schema = f"video_id {kinds['video_id']}, frag_idx {kinds['frag_idx']}, start double, unit int, named string, change int, text string, narrator string"
-    parsed = prepared.select("video_id", "frag_idx", "start", "text", "cast", "um").mapInPandas(parse, schema)
+    parsed = prepared.select("video_id", "frag_idx", "start", "text", "channel", "cast", "um").mapInPandas(parse, schema)
     at = F.coalesce("start", F.lit(float("-inf")))
     parsed = settle(parsed.withColumn("at", at).withColumn("_block", F.coalesce(F.floor(F.col("start") / BLOCK_S), F.lit(-(1 << 40))).cast("bigint")))
 
@@ -348,7 +385,7 @@ def p5_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mined_layouts(_prepared(table(spark, sf_dir, "fragments"), table(spark, sf_dir, "speakers")))
+    return mined_layouts(*_prepared(table(spark, sf_dir, "fragments"), table(spark, sf_dir, "speakers")))
 
 
 QUERIES = {"p5_found": p5_found, "p5_turns": p5_turns, "p5_layouts": p5_layouts}

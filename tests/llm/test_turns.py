@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from corpuscle.llm import turns as turns_module
 from corpuscle.llm.turns import Cast, clean, near, spoken, stamp, turn_starts, turns, units
 
 CAST = [("s0", "c", "Orla Venn", "host", "SPEAKER_00"), ("s1", "c", "Bruno Kask", "guest", "SPEAKER_01"), ("s2", "c", "Tilde Moor", "narrator", "SPEAKER_02")]
@@ -31,9 +32,9 @@ def test_near():
 
 def test_stamp_and_words():
     assert stamp("[0:02] - Orla: x", 2.4)[2] and stamp("00:00:38.893 --> of", 38.5)[2] and not stamp("10:45 in town", 3.0)[2]
-    assert stamp("(0:11 harbour", 11) is None
+    assert stamp("@131s | text", 131.0)[::2] == ("T @|9a||", True) and stamp("{2m11} text", 131.2)[2] and stamp("words 3", 3.0) is None
     assert clean("blame um childhood [Applause] things") == ("blame childhood things", True)
-    assert clean("nada por um tempo (risos)") == ("nada por um tempo", True)
+    assert clean("nada foi por um tempo (risos)") == ("nada foi por um tempo", True)
     assert clean("Um, hmm... *sighs* ♪ ♪") == ("", False)
     assert clean("Er kam um 1654.") == ("Er kam um 1654.", True)
 
@@ -80,7 +81,7 @@ def test_blocks_against_one_pass(spark):
             rows.append((v, i, float(i * 37 % 601) * 11, head + rng.choice(["words here", "um", "more of it", "[Music]"])))
     f, s = frames(spark, rows)
     cast = Cast(tuple((a, b, c, d) for a, _, b, c, d in CAST))
-    layouts = frozenset({"L Aa:", "L [Aa]"})
+    layouts = frozenset({"L |Aa|:", "L [|Aa|]"})
     want = set()
     for v in ("a", "b", "hot"):
         voice, other, last = "s2", {"s0": "s1", "s1": "s0", "s2": "s0"}, None
@@ -106,3 +107,28 @@ def test_um_by_language_of_the_video_and_long_notes(spark):
     got = {(r.video_id, r.frag_idx): r.text for r in spoken(f, s).collect()}
     assert got == {("p", 0): rows[0][3], ("p", 1): rows[1][3], ("e", 0): rows[3][3], ("e", 1): "it was tempo"}
     assert clean("He came (which was rather late for all of us).")[0] == "He came (which was rather late for all of us)."
+
+
+def test_new_layouts_are_found_without_a_pattern(spark):
+    rng = random.Random(9)
+    rows, want = [], []
+    heads = {"s0": "{Orla}", "s1": "★ Bruno Kask ★", "s2": "~Tilde Moor~"}
+    for i in range(60):
+        who = rng.choice(list(heads))
+        rows.append(("v", i, i * 7.0, f"@{i * 7}s | {heads[who]} row {'abc'[i % 3]} of words"))
+        if not want or want[-1][1] != who:
+            want.append((i, who))
+    f, s = frames(spark, rows)
+    got = spoken(f, s).orderBy("frag_idx").collect()
+    assert {r.text for r in got} == {f"row {c} of words" for c in "abc"}
+    assert [(r.frag_idx, r.speaker_id) for r in turn_starts(f, s).where("new").orderBy("frag_idx").collect()] == want
+    # Times that aren't the fragments' own are numbers, and names of nobody in the cast are words.
+    f, s = frames(spark, [("v", i, i * 7.0, f"@{i * 5 + 90}s | {{Nobody}} says so") for i in range(20)])
+    assert {r.speaker_id for r in spoken(f, s).collect()} == {"s2"} and "Nobody" in spoken(f, s).first().text
+
+
+def test_casts_joined_where_they_are_large(spark, monkeypatch):
+    f, s = frames(spark, [("v", i, float(i), ["Orla: yes", "[Bruno] no", "more"][i % 3]) for i in range(12)])
+    want = sorted((r.frag_idx, r.speaker_id) for r in spoken(f, s).collect())
+    monkeypatch.setattr(turns_module, "MOST_CAST_BYTES", 1)
+    assert sorted((r.frag_idx, r.speaker_id) for r in spoken(f, s).collect()) == want
