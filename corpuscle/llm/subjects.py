@@ -10,7 +10,6 @@ subject's topics have enough of its proportions.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -21,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscle.llm.boundaries import scan
+from corpuscle.llm.languages import LANGUAGES, language
 from corpuscle.ontology import normal
 from corpuscle.session import settle
 from corpuscle.sources.tables import table
@@ -41,44 +41,9 @@ TOP_TERMS = 40
 #: Places of one row of topic-term sums; from so many tasks on, sums are added in two steps.
 CHUNK, WIDE = 1 << 12, 256
 
-# Frequent words by which languages in Latin letters are told apart.
-FREQUENT = {
-    "en": "the and of to in is was that it for with not you they will have about from this on what by",
-    "pt": "o a de que em um uma não do da os é já foi por sem para ninguém até no na você as mais",
-    "es": "el la de que en los un una no del es y ya por sin nadie lo fue hasta hay las más solo",
-    "fr": "le la de que et les un une ne pas du est à il en sans plus ce fut on des dans rien tous",
-    "de": "der die das und in nicht ein eine ist war es wir zur im mit ohne bis den wie hier auf von immer",
-}
-LANGUAGES = [*FREQUENT, "ja", "zh", "hi", "th", "ar", "other"]
-_FREQUENT = {w: [k for k, v in FREQUENT.items() if w in v.split()] for w in " ".join(FREQUENT.values()).split()}
-
 _RUN = re.compile(r"[\u3040-\u30ff\u4e00-\u9fff]+|[\u0e00-\u0e7f]+|[\u0900-\u097f]+|[^\W\d_]+(?:['’-][^\W\d_]+)*")
 
 
-_SCRIPTS = {
-    "kana": re.compile(r"[\u3040-\u30ff]+"), "han": re.compile(r"[\u4e00-\u9fff]+"), "hi": re.compile(r"[\u0900-\u097f]+"),
-    "th": re.compile(r"[\u0e00-\u0e7f]+"), "ar": re.compile(r"[\u0600-\u06ff]+"), "latin": re.compile(r"[A-Za-z\u00c0-\u024f]+"),
-}
-
-
-def language(text: str) -> str:
-    """The language of a text by script, in Latin letters by frequent words."""
-    count = {k: sum(map(len, p.findall(text))) for k, p in _SCRIPTS.items()}
-    if not any(count.values()):
-        return "other"
-    if count["kana"] + count["han"] >= count["latin"] and count["kana"] + count["han"] > 0:
-        return "ja" if count["kana"] * 8 > count["han"] else "zh"
-    best = max(("hi", "th", "ar", "latin"), key=count.get)
-    if best != "latin":
-        return best
-    hits = dict.fromkeys(FREQUENT, 0)
-    for w, n in Counter(re.findall(r"[^\W\d_]+", text.lower())).items():
-        for k in _FREQUENT.get(w, ()):
-            hits[k] += n
-    best = max(hits, key=hits.get)
-    return best if hits[best] else "other"
-
-
 def terms(sentence: str) -> list[str]:
     """Distinct terms of a sentence: words, pairs of words; in scripts without spaces, runs of characters."""
     out: dict[str, None] = {}
@@ -106,11 +71,11 @@ def place(term: str, block: int) -> int:
     return block * PLACES + (crc32(term.encode("utf-8", "surrogatepass")) & (PLACES - 1))
 
 
-def sentences_of(text: str | None) -> list[str]:
+def sentences_of(text: str | None, lang: str | None = None) -> list[str]:
     """Sentences of a text; headings and pieces without a letter are none."""
     if not text:
         return []
-    _, ends, size, _, _ = scan(text, alone=True)
+    _, ends, size, _, _ = scan(text, alone=True, lang=lang)
     out, at = [], 0
     for cut in sorted({e for e, m in ends if m & 1} | {size}):
         piece = text[at:cut].strip()
@@ -133,8 +98,9 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat: list[int] = []
             per_sentence, per_doc = [], []
             for text in part.column(1).to_pylist():
-                base = LANGUAGES.index(language(text)) * PLACES if text else 0
-                found = sentences_of(text)
+                lang = language(text) if text else "other"
+                base = LANGUAGES.index(lang) * PLACES
+                found = sentences_of(text, lang)
                 per_doc.append(len(found))
                 for s in found:
                     own = {base + (crc32(t.encode("utf-8", "surrogatepass")) & (PLACES - 1)) for t in terms(s)}

@@ -2,15 +2,16 @@ import random
 
 import pytest
 
+from corpuscle.llm import sentences as sentences_module
 from corpuscle.llm.boundaries import NOTHING, OUT, head, scan
 from corpuscle.llm.sentences import row_ends, sentences
 
 
-def sequential(texts):
+def sequential(texts, lang=None):
     """Ends of each text, read from the first to the last."""
     out, state = [], OUT
     for i, t in enumerate(texts):
-        nxt, ends, size, outside, tail = scan(t)
+        nxt, ends, size, outside, tail = scan(t, lang=lang)
         follow = head(texts[i + 1]) if i + 1 < len(texts) else NOTHING
         own = [p for p, m in ends if m >> state & 1]
         if follow == NOTHING or outside >> state & 1 and tail >> follow & 1:
@@ -50,6 +51,27 @@ def test_cases(text, want):
     assert got == want and not text[at:].strip()
 
 
+@pytest.mark.parametrize(
+    "text,lang,n",
+    [
+        ("Come with me. She left.", "en", 2), ("I love art. It is good.", "en", 2), ("He called his ex. She cried.", None, 2), ("Tell Al. He knows.", "en", 2), ("Lane et al. 2010 say so. Fine.", "en", 2),
+        ("Me Roux parla. Fin.", "fr", 2), ("Er hat ca. 3 Boote.", "de", 1), ('"One. Two. Three. Four. Five. Six," she said.', "en", 1),
+    ],
+)
+def test_abbreviations_by_language_and_long_quotations(text, lang, n):
+    _, ends, size, _, _ = scan(text, alone=True, lang=lang)
+    assert len({e for e, m in ends if m & 1} | {size}) == n
+
+
+def test_long_rows_are_cut_into_chunks(spark, monkeypatch):
+    text = "He said one thing. " * 300 + "“Stop it. Now,” said Ann. " * 200 + "静けさだけが残った。" * 200 + "Prof. Venn and Dr. Moor went home"
+    df = spark.createDataFrame([("a", "v", 0, text), ("b", "v", 1, "at last. End")], "sent_id string, video_id string, idx int, text string")
+    want = {r.sent_id: r.ends for r in row_ends(df, "video_id", "sent_id", "idx", "text").collect()}
+    monkeypatch.setattr(sentences_module, "_CUT", sentences_module._CUT.replace(str(sentences_module.CHUNK), "97"))
+    monkeypatch.setattr(sentences_module, "CHUNK", 97)
+    assert {r.sent_id: r.ends for r in row_ends(df, "video_id", "sent_id", "idx", "text").collect()} == want and len(want["a"]) == 700
+
+
 def test_chunks_anywhere_between_words_give_the_same_sentences():
     whole = " ".join(t for t, _ in CASES if "\n" not in t)
     rng = random.Random(2)
