@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuscle.llm.boundaries import scan
-from corpuscle.operators.sequence import null_safe, running_sum
+from corpuscle.operators.sequence import null_safe
 from corpuscle.session import settle
 from corpuscle.sources.tables import current_rows, table
 
@@ -68,8 +68,11 @@ def _atom_batches(max_words: int, max_chars: int):
             rows = []
             for item, unit, text in zip(pdf["_item"], pdf["_unit"], pdf["_text"]):
                 found = atoms(text, max_words, max_chars)
-                rows += [(item, unit, j, t, w, len(t), e, " " if j + 1 == len(found) else "") for j, (t, w, e) in enumerate(found)]
-            yield pd.DataFrame(rows, columns=["_item", "_unit", "_j", "_atom", "_w", "_c", "_end", "_sep"])
+                words = chars = 0
+                for j, (t, w, e) in enumerate(found):
+                    words, chars = words + w, chars + len(t)
+                    rows.append((item, unit, j, t, w, len(t), e, " " if j + 1 == len(found) else "", words, chars))
+            yield pd.DataFrame(rows, columns=["_item", "_unit", "_j", "_atom", "_w", "_c", "_end", "_sep", "_uw", "_uc"])
 
     return run
 
@@ -99,13 +102,19 @@ def _double(steps: DataFrame) -> DataFrame:
 def _boundaries(rows: DataFrame, max_words: int, max_chars: int) -> DataFrame:
     """Atoms of oversized items, numbered: _item, _b (before the atom), _atom, _w, _c, _end, _sep, and _aw, _ac (words and characters up to and with it)."""
     kind = dict(rows.dtypes)["_item"]
-    made = rows.where("_text <> ''").mapInPandas(_atom_batches(max_words, max_chars), f"_item {kind}, _unit bigint, _j bigint, _atom string, _w int, _c int, _end boolean, _sep string")
-    made = settle(made.withColumn("_block", F.shiftleft("_unit", 20) + F.shiftright("_j", 12)))
-    order = ["_unit", "_j"]
-    made = running_sum(made, ["_item"], "_block", order, F.lit(1).cast("bigint"), "_n")
-    made = running_sum(made, ["_item"], "_block", order, F.col("_w").cast("bigint"), "_aw")
-    made = running_sum(made, ["_item"], "_block", order, F.col("_c").cast("bigint"), "_ac")
-    return made.withColumn("_b", F.col("_n") - 1).drop("_n", "_block")
+    schema = f"_item {kind}, _unit bigint, _j bigint, _atom string, _w int, _c int, _end boolean, _sep string, _uw bigint, _uc bigint"
+    made = settle(rows.where("_text <> ''").mapInPandas(_atom_batches(max_words, max_chars), schema))
+    # Atoms are counted inside their unit already; a unit's last atom has its totals, and only those are added up, by blocks of units.
+    totals = made.where("_sep <> ''").select("_item", "_unit", F.floor(F.col("_unit") / BLOCK).cast("bigint").alias("_block"), (F.col("_j") + 1).alias("_un"), "_uw", "_uc")
+    sums = ("_un", "_uw", "_uc")
+    carried = Window.partitionBy("_item").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.groupBy("_item", "_block").agg(*[F.sum(c).alias(c) for c in sums]).select(F.col("_item").alias("_i"), F.col("_block").alias("_bl"), *[F.coalesce(F.sum(c).over(carried), F.lit(0)).alias("_carry" + c) for c in sums])
+    local = Window.partitionBy("_item", "_block").orderBy("_unit").rowsBetween(Window.unboundedPreceding, -1)
+    units_ = totals.select("_item", "_block", "_unit", *[F.coalesce(F.sum(c).over(local), F.lit(0)).alias("_local" + c) for c in sums]).join(carry, null_safe(["_item", "_block"], ["_i", "_bl"]))
+    units_ = units_.select(F.col("_item").alias("_i"), F.col("_unit").alias("_u"), *[(F.col("_carry" + c) + F.col("_local" + c)).alias("_before" + c) for c in sums])
+    made = made.join(units_, null_safe(["_item", "_unit"], ["_i", "_u"]))
+    place = [(F.col("_before_un") + F.col("_j")).alias("_b"), (F.col("_before_uw") + F.col("_uw")).alias("_aw"), (F.col("_before_uc") + F.col("_uc")).alias("_ac")]
+    return made.select("_item", "_atom", "_w", "_c", "_end", "_sep", *place)
 
 
 def cut(rows: DataFrame, max_words: int = MAX_WORDS, max_chars: int = MAX_CHARS, overlap_words: int = OVERLAP_WORDS) -> tuple[DataFrame, DataFrame]:
