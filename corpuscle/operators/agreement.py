@@ -65,6 +65,20 @@ def confusion(df: DataFrame, unit: str, coder: str, value: str, first: str, seco
     return pair.where("label_a is not null and label_b is not null").groupBy(*by, "label_a", "label_b").agg(F.count("*").alias("n"))
 
 
+def confused_pairs(df: DataFrame, by: list[str], unit: list[str], value: str) -> DataFrame:
+    """by, ``label_a`` < ``label_b``, ``n``, ``rate``: pairs of ratings of one unit that differ, and their share of all pairs of the group.
+
+    Counted by value within the unit first, so pairs of labels are multiplied, never listed. Null values are no ratings.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, *unit, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    held = counts.groupBy(*by, *unit).agg(F.array_sort(F.collect_list(F.struct("_v", "_n"))).alias("_x"))
+    same = lambda x: F.struct(x["_v"].alias("a"), x["_v"].alias("b"), (x["_n"] * (x["_n"] - 1) / 2).cast("bigint").alias("n"))
+    across = F.flatten(F.transform("_x", lambda x: F.transform(F.filter("_x", lambda y: y["_v"] > x["_v"]), lambda y: F.struct(x["_v"].alias("a"), y["_v"].alias("b"), (x["_n"] * y["_n"]).alias("n")))))
+    pair = held.select(*by, F.explode(F.concat(F.transform("_x", same), across)).alias("_p")).groupBy(*by, F.col("_p.a").alias("label_a"), F.col("_p.b").alias("label_b")).agg(F.sum("_p.n").cast("bigint").alias("n"))
+    rated = pair.where("n > 0").withColumn("rate", F.col("n") / F.sum("n").over(Window.partitionBy(*by)))
+    return rated.where("label_a <> label_b")
+
+
 def majority(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """by, ``label`` (null without consensus), ``votes``, ``n_ratings``, ``consensus``: a strict majority of the ratings. Null values don't vote."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))

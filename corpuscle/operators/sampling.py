@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuscle.functions.text import LONG_FORM_S, MATURE_DAYS
+from corpuscle.session import settle
 
 
 class PoolTooSmall(ValueError):
@@ -42,15 +43,18 @@ def quota_sample(df: DataFrame, owner: str, key: str, n: int, seed: int) -> Data
 
     Raises ``PoolTooSmall`` if there are fewer than n rows.
     """
-    sizes = df.agg(F.count_distinct(owner).alias("o"), F.count("*").alias("r")).first()
-    if sizes.r < n:
-        raise PoolTooSmall(f"{sizes.r} rows, {n} wanted")
+    owners = settle(df.groupBy(owner).agg(F.count("*").alias("_n")))
+    sizes = owners.agg(F.count(owner).alias("o"), F.sum("_n").alias("r")).first()
+    if (sizes.r or 0) < n:
+        raise PoolTooSmall(f"{sizes.r or 0} rows, {n} wanted")
     quota = n // max(1, sizes.o)
-    ranked = df.withColumn("_h", hash_order(seed, key)).withColumn("_r", F.row_number().over(Window.partitionBy(owner).orderBy("_h", key)))
-    base = ranked.where(F.col("_r") <= quota)
-    deficit = n - base.count()
-    rest = ranked.where(F.col("_r") > quota).orderBy("_h", key).limit(deficit)
-    return base.unionByName(rest).drop("_h", "_r")
+    deficit = n - owners.agg(F.sum(F.least("_n", F.lit(quota))).alias("b")).first().b
+    # Ranks up to the quota and n rows of the whole order are all that can be drawn; both prune before they shuffle.
+    hashed = df.withColumn("_h", hash_order(seed, key))
+    base = hashed.withColumn("_r", F.row_number().over(Window.partitionBy(owner).orderBy("_h", key))).where(F.col("_r") <= quota).drop("_r")
+    first = base.select(F.col(key).alias("_k"))
+    rest = hashed.orderBy("_h", key).limit(n).join(F.broadcast(first), F.col(key) == F.col("_k"), "left_anti").orderBy("_h", key).limit(deficit)  # at most n rows each
+    return base.unionByName(rest).drop("_h")
 
 
 def seeded_sample(ids: Sequence, k: int, seed: int) -> list:
@@ -93,3 +97,39 @@ def anchored_draw(candidates: list[str], pool: list[str], n: int, seed: int) ->
     else:
         drawn = rng.sample(sorted(pool), n)
     return drawn, rng.choice(sorted(drawn))
+
+
+def anchored_positions(df: DataFrame, by: str, key: str, candidate: str, n: int, seed: int) -> DataFrame:
+    """``df`` with ``rank`` (from 0) and ``again``: ``anchored_draw`` of the sorted keys of each group; smaller groups give all they have.
+
+    Draws depend on the numbers of keys and of candidates and on the anchor's place only, so no group's keys are gathered.
+    """
+    order = Window.partitionBy(by).orderBy(key)
+    placed = df.withColumn("_i", (F.row_number().over(order) - 1).cast("bigint")).withColumn("_c", F.when(F.col(candidate), F.sum(F.col(candidate).cast("bigint")).over(order) - 1))
+    sizes = placed.groupBy(F.col(by).alias("_g")).agg(F.count("*").alias("_n"), F.count("_c").alias("_m"))
+    kind = dict(df.dtypes)[by]
+
+    def anchors(batches):
+        for pdf in batches:
+            yield pd.DataFrame([(g, random.Random(seed).choice(range(m)) if m else -1) for g, m in zip(pdf["_g"], pdf["_m"])], columns=["_g2", "_a"])
+
+    chosen = sizes.mapInPandas(anchors, f"_g2 {kind}, _a bigint")
+    anchor = placed.join(chosen, F.col(by).eqNullSafe(F.col("_g2")) & (F.col("_c") == F.col("_a"))).select(F.col(by).alias("_g3"), F.col("_i").alias("_at"))
+    sizes = sizes.join(anchor, F.col("_g").eqNullSafe(F.col("_g3")), "left").select("_g", "_n", "_m", F.coalesce("_at", F.lit(-1)).cast("bigint").alias("_at"))
+
+    def places(batches):
+        for pdf in batches:
+            rows = []
+            for g, size, m, at in zip(pdf["_g"], pdf["_n"], pdf["_m"], pdf["_at"]):
+                rng = random.Random(seed)
+                if m:
+                    rng.choice(range(m))
+                    drawn = [at, *(i + (i >= at) for i in rng.sample(range(size - 1), min(n, size) - 1))]
+                else:
+                    drawn = rng.sample(range(size), min(n, size))
+                again = rng.choice(sorted(drawn))
+                rows += [(g, i, r, i == again) for r, i in enumerate(drawn)]
+            yield pd.DataFrame(rows, columns=["_g", "_p", "rank", "again"])
+
+    drawn = sizes.mapInPandas(places, f"_g {kind}, _p bigint, rank int, again boolean")
+    return placed.join(drawn, F.col(by).eqNullSafe(F.col("_g")) & (F.col("_i") == F.col("_p"))).drop("_g", "_p", "_i", "_c")

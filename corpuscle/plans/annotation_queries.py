@@ -74,9 +74,9 @@ def confusion_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def round_confusion(spark: SparkSession, d: str) -> DataFrame:
-    """Rounds as two coders of the same (coder, window)."""
-    rows = _long(spark, d).where("field = 'function'").withColumn("unit", F.concat_ws("|", "coder", "window_id"))
-    return confusion(rows, "unit", "round", "label", "round1", "round2")
+    """The consensus of round 1 and that of round 2 as two coders of the same window."""
+    votes = majority(_long(spark, d).where("field = 'function'"), ["window_id", "round"], "label").where("consensus")
+    return confusion(votes, "window_id", "round", "label", "round1", "round2")
 
 
 def majority_vote(spark: SparkSession, d: str) -> DataFrame:
@@ -136,7 +136,9 @@ def _shares(spark: SparkSession, d: str) -> DataFrame:
 
 def share_bands(spark: SparkSession, d: str) -> DataFrame:
     """20th and 80th percentile over videos of each function's share; videos without it count as 0."""
-    b = _shares(spark, d).groupBy("function").agg(F.percentile("share", F.array(F.lit(0.2), F.lit(0.8))).alias("_p"))
+    # Shares are counted first, so that a function's group holds its distinct shares, not its videos.
+    n = _shares(spark, d).groupBy("function", "share").agg(F.count("*").alias("n"))
+    b = n.groupBy("function").agg(F.percentile("share", F.array(F.lit(0.2), F.lit(0.8)), F.col("n")).alias("_p"))
     return b.select("function", F.round(F.col("_p")[0], 6).alias("p20"), F.round(F.col("_p")[1], 6).alias("p80"))
 
 
@@ -212,7 +214,8 @@ SQL = {
     ),
     "occurrence_zero_fill": f"WITH {_LONG}, {_VOCAB} SELECT voc.field, voc.value AS label, count(long.label) AS n FROM voc LEFT JOIN long ON long.field = voc.field AND long.label = voc.value GROUP BY 1, 2",
     "confusion": f"""WITH {_LONG}, x AS (SELECT * FROM long WHERE "round" = 'round1' AND field = 'function') SELECT a.label AS label_a, b.label AS label_b, count(*) AS n FROM x a JOIN x b USING (window_id) WHERE a.coder = 'an-lead' AND b.coder <> 'an-lead' GROUP BY 1, 2""",
-    "round_confusion": f"""WITH {_LONG}, x AS (SELECT * FROM long WHERE field = 'function') SELECT a.label AS label_a, b.label AS label_b, count(*) AS n FROM x a JOIN x b USING (window_id, coder) WHERE a."round" = 'round1' AND b."round" = 'round2' GROUP BY 1, 2""",
+    "round_confusion": f"""WITH {_LONG}, c AS (SELECT window_id, "round", label, count(*) AS n FROM long WHERE field = 'function' GROUP BY 1, 2, 3), x AS (SELECT * FROM c QUALIFY n * 2 > sum(n) OVER (PARTITION BY window_id, "round"))
+      SELECT a.label AS label_a, b.label AS label_b, count(*) AS n FROM x a JOIN x b USING (window_id) WHERE a."round" = 'round1' AND b."round" = 'round2' GROUP BY 1, 2""",
     "majority_vote": f"""WITH {_LONG}, c AS (SELECT window_id, field, label, count(*) AS n FROM long WHERE "round" = 'round1' GROUP BY 1, 2, 3), t AS (SELECT *, CAST(sum(n) OVER (PARTITION BY window_id, field) AS BIGINT) AS n_ratings FROM c QUALIFY row_number() OVER (PARTITION BY window_id, field ORDER BY n DESC, label DESC) = 1)
       SELECT window_id, field, CASE WHEN n * 2 > n_ratings THEN label END AS label, n AS votes, n_ratings, n * 2 > n_ratings AS consensus FROM t""",
     "mutual_information": f"""WITH {_CUR_A}, x AS (SELECT {_N('function')} AS f, {_N('scale')} AS s FROM ca), y AS (SELECT f, s, CAST(count(*) AS DOUBLE) AS n FROM x WHERE f IN {_IN('function')} AND s IN {_IN('scale')} GROUP BY 1, 2),

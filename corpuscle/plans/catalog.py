@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["interval_queries", "corpus_queries", "sentence_queries", "annotation_queries"]
+MODULES = ["interval_queries", "corpus_queries", "sentence_queries", "annotation_queries", "profile_queries"]
 
 
 def _gather(what: str) -> dict:

@@ -9,7 +9,7 @@ from corpuscle.functions.text import CTA_PHRASES, contains_any, expected_words,
 from corpuscle.operators.fusion import absorbed
 from corpuscle.operators.gates import GATES, registry, report
 from corpuscle.operators.sampling import eligible, hash_order, quota_sample, seeded_draw, top_k
-from corpuscle.operators.windows import CEILING
+from corpuscle.operators.windows import CEILING, WORDS, band
 from corpuscle.plans.annotation_queries import _runs
 from corpuscle.plans.sentence_queries import CUR_V, CUR_W, TOKENS, _gated, _sentences, _videos
 from corpuscle.sources.tables import current_rows, table
@@ -100,7 +100,7 @@ def channel_report(spark: SparkSession, d: str) -> DataFrame:
 
 def _corpus_measured(spark: SparkSession, d: str) -> DataFrame:
     g = corpus_gate(spark, d)
-    return g.select(F.lit("profile_videos").alias("gate"), "channel", F.col("n_profile").cast("double").alias("measured")).unionByName(g.select(F.lit("word_ratio").alias("gate"), "channel", F.col("least_ratio").alias("measured")))
+    return g.select(F.lit("profile_videos").alias("gate"), "channel", F.col("n_profile").cast("double").alias("measured")).unionByName(g.select(F.lit("holdout_videos").alias("gate"), "channel", F.col("n_holdout").cast("double").alias("measured"))).unionByName(g.select(F.lit("word_ratio").alias("gate"), "channel", F.col("least_ratio").alias("measured")))
 
 
 def gate_report(spark: SparkSession, d: str) -> DataFrame:
@@ -112,13 +112,15 @@ def _video_measured(spark: SparkSession, d: str) -> DataFrame:
     """Gates of windows and of smoothing, per channel: what breaks parity, the share of single windows, the share of single blocks absorbed."""
     g = _gated(spark, d).groupBy("video_id").agg(
         F.count_if(F.col("words") > CEILING).alias("big"), F.count_if((F.col("words") > CEILING) & ((F.col("n") != 1) | (F.col("big") <= CEILING))).alias("unproven"),
-        F.count_if((F.col("n") == 1) & F.col("next_words").isNotNull()).alias("single"), F.count("*").alias("total"))
+        F.count_if((F.col("n") == 1) & F.col("next_words").isNotNull()).alias("single"), F.count("*").alias("total"),
+        F.count_if((F.col("n") == 1) & F.col("next_words").isNotNull() & (F.col("words") <= WORDS) & (F.col("words") + F.col("next_words") <= CEILING)).alias("residual"))
     s = _sentences(spark, d).groupBy("video_id").agg(F.count_if(word_count("text") > CEILING).alias("big_sentences"))
     b = absorbed(_runs(spark, d), "video_id").groupBy("video_id").agg(F.count_if("absorbed").alias("absorbed"), F.count_if(F.col("n") == 1).alias("single_blocks"))
-    v = _videos(spark, d).select(F.col("id").alias("video_id"), "channel").join(g, "video_id", "left").join(s, "video_id", "left").join(b, "video_id", "left")
-    c = v.groupBy("channel").agg(*[F.sum(x).alias(x) for x in ("big", "unproven", "single", "total", "big_sentences", "absorbed", "single_blocks")])
+    lo, hi = band(F.coalesce("duration", F.lit(0.0)))
+    v = _videos(spark, d).select(F.col("id").alias("video_id"), "channel", lo.alias("_lo"), hi.alias("_hi")).join(g, "video_id", "left").join(s, "video_id", "left").join(b, "video_id", "left")
+    c = v.groupBy("channel").agg(*[F.sum(x).alias(x) for x in ("big", "unproven", "single", "total", "big_sentences", "absorbed", "single_blocks", "residual")], F.count_if(~F.coalesce("total", F.lit(0)).between(F.col("_lo"), F.col("_hi"))).alias("off_band"))
     rate = F.when(F.col("single_blocks") > 0, F.col("absorbed") / F.col("single_blocks")).when(F.col("single_blocks") == 0, F.lit(0.0))
-    of = {"big_windows": (F.abs(F.col("big") - F.col("big_sentences")) + F.col("unproven")).cast("double"), "single_ratio": F.col("single") / F.col("total"), "smoothing": rate}
+    of = {"big_windows": (F.abs(F.col("big") - F.col("big_sentences")) + F.col("unproven")).cast("double"), "single_ratio": F.col("single") / F.col("total"), "smoothing": rate, "window_residual": F.col("residual").cast("double"), "window_band": F.col("off_band").cast("double")}
     return c.select("channel", F.explode(F.array(*[F.struct(F.lit(k).alias("gate"), x.alias("measured")) for k, x in of.items()])).alias("_x")).select("_x.gate", "channel", "_x.measured")
 
 
@@ -157,9 +159,9 @@ SQL = {
     "source_contamination": f"WITH {_READ} SELECT source, count(*) AS n, CAST(sum(words) AS BIGINT) AS words, CAST(sum(sentences) AS BIGINT) AS sentences, round(avg(ease), 6) AS ease FROM rd GROUP BY 1",
     "forbidden_terms": "SELECT doc_id, term FROM documents, (VALUES ('rocket science'), ('marathon'), ('http')) t(term) WHERE contains(lower(text), term)",
     "channel_report": f"WITH {CUR_V} SELECT channel, source, count(*) AS n, CAST(sum(coalesce(view_count, 0)) AS BIGINT) AS views, CAST(grouping_id(channel, source) AS INT) AS level FROM cv GROUP BY ROLLUP (channel, source)",
-    "gate_report": f"""WITH {_GATE}, {_GATES}, ms AS (SELECT 'profile_videos' AS gate, channel, CAST(n_profile AS DOUBLE) AS m FROM ga UNION ALL SELECT 'word_ratio', channel, least_ratio FROM ga),
+    "gate_report": f"""WITH {_GATE}, {_GATES}, ms AS (SELECT 'profile_videos' AS gate, channel, CAST(n_profile AS DOUBLE) AS m FROM ga UNION ALL SELECT 'holdout_videos', channel, CAST(n_holdout AS DOUBLE) FROM ga UNION ALL SELECT 'word_ratio', channel, least_ratio FROM ga),
       x AS (SELECT g.*, c.channel, list_contains(string_split(g.roles, ','), c.role) AS applies FROM gates g CROSS JOIN channels c WHERE scope = 'per_channel' UNION ALL SELECT g.*, NULL, true FROM gates g WHERE scope = 'global'),
-      y AS (SELECT x.*, m, CASE op WHEN '>=' THEN m >= value WHEN '<=' THEN m <= value END AS ok FROM x LEFT JOIN ms ON ms.gate = x.gate AND ms.channel IS NOT DISTINCT FROM x.channel)
+      y AS (SELECT x.*, m, CASE op WHEN '>=' THEN m >= value WHEN '<=' THEN m <= value WHEN '==' THEN m = value END AS ok FROM x LEFT JOIN ms ON ms.gate = x.gate AND ms.channel IS NOT DISTINCT FROM x.channel)
       SELECT gate, channel, CASE WHEN kind = 'bound' THEN op || ' ' || printf('%.3f', value) || ' ' || unit ELSE statement END AS threshold,
       CASE WHEN NOT coalesce(applies, false) THEN 'not applicable' WHEN ok IS NULL THEN 'not measured' WHEN ok THEN 'passed (' || printf('%.3f', round(m, 3)) || ')' ELSE 'failed (' || printf('%.3f', round(m, 3)) || ')' END AS status FROM y""",
 }

@@ -18,6 +18,7 @@ def build_session(app: str = "corpuscle", master: str | None = None, **extra: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     } | extra
@@ -29,10 +30,13 @@ def build_session(app: str = "corpuscle", master: str | None = None, **extra: st
 def settle(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once in the shared checkpoint folder and cut its lineage.
 
-    The folder is the one named by ``spark.checkpoint.dir``; only a session that names none (tests, a laptop)
-    gets a temporary one. checkpoint() replicates nothing to executors, so a lost executor loses nothing.
+    The folder is the one named by ``spark.checkpoint.dir``; only a local session (tests, a laptop) that names none
+    gets a temporary one, on a cluster that is an error. What no frame uses any longer is deleted by Spark where the session cleans checkpoints. checkpoint() replicates nothing to executors, so a lost executor loses nothing.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or os.path.join(tempfile.gettempdir(), "corpuscle-checkpoints"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("a cluster needs spark.checkpoint.dir, a folder that all executors share")
+        sc.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "corpuscle-checkpoints"))
     return df.checkpoint(eager=True)

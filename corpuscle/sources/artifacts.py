@@ -73,6 +73,21 @@ def envelope(df: DataFrame, key: str, name: str, order: str, generated_at: str,
     return rows.select(key, F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
 
 
+def write_envelopes(rows: DataFrame, path: str, again: bool = False) -> None:
+    """The envelopes of ``rows`` (json) as JSON lines; what is there already is only replaced ``again``, so raw envelopes are never overwritten."""
+    rows.select(F.col("json").alias("value")).write.mode("overwrite" if again else "errorifexists").text(path)
+
+
+def read_envelopes(spark: SparkSession, path: str, schema: str, name: str) -> DataFrame:
+    """Rows of envelopes under a path or glob: the envelope's own columns and those of its rows under ``name``, with ``row``, their place.
+
+    ``schema`` is that of an envelope. Envelopes without rows give none.
+    """
+    whole = spark.read.schema(schema).json(path)
+    rows = whole.select(*[c for c in whole.columns if c != name], F.posexplode(name).alias("row", "_r"))
+    return rows.select(*[c for c in rows.columns if c != "_r"], *[F.col(f"_r.`{c}`").alias(c) for c in whole.schema[name].dataType.elementType.names])
+
+
 def worksheet(bundles: DataFrame, fields: list[str]) -> DataFrame:
     """JSON lines to be filled in: display_id, context, target and a null for each field."""
     return bundles.select(F.to_json(F.struct("display_id", "context", "target", *[F.lit(None).cast("string").alias(f) for f in fields]), {"ignoreNullFields": "false"}).alias("value"))
