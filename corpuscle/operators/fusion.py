@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuscle.operators.sequence import last_known, running_sum
+
+#: Rows (by order) of a block.
+BLOCK = 4_096
+
 
 def runs(df: DataFrame, by: str, order: str, label: str) -> DataFrame:
-    """by, ``run`` (from 0), ``label``, ``n``, ``first``, ``last``: neighbouring rows of one label. A null label is a label."""
-    w = Window.partitionBy(by).orderBy(order)
-    before = F.lag(F.struct(F.col(label).alias("l"))).over(w)
-    new = before.isNull() | ~before["l"].eqNullSafe(F.col(label))
-    numbered = df.withColumn("_new", new.cast("bigint")).withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    return numbered.groupBy(by, "run").agg(F.max(label).alias("label"), F.count("*").alias("n"), F.min(order).alias("first"), F.max(order).alias("last"))
+    """by, ``run`` (from 0), ``label``, ``n``, ``first``, ``last``: neighbouring rows of one label. A null label is a label.
+
+    ``order`` is an integer; rows are scanned by blocks of BLOCK, so an entity of any length is no single task's sort.
+    """
+    rows = df.select(by, order, label, F.coalesce(F.floor(F.col(order) / BLOCK), F.lit(-1)).cast("bigint").alias("_block"))
+    before = last_known(rows, [by], "_block", [order], F.struct(F.col(label).alias("l")), "_before", inclusive=False)
+    new = F.col("_before").isNull() | ~F.col("_before.l").eqNullSafe(F.col(label))
+    numbered = running_sum(before, [by], "_block", [order], new.cast("bigint"), "_run")
+    return numbered.groupBy(by, (F.col("_run") - 1).alias("run")).agg(F.max(label).alias("label"), F.count("*").alias("n"), F.min(order).alias("first"), F.max(order).alias("last"))
 
 
 def absorbed(run: DataFrame, by: str) -> DataFrame:
