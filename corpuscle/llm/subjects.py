@@ -10,6 +10,7 @@ subject's topics have enough of its proportions.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -245,10 +246,11 @@ def _total(coded: DataFrame, shared, k: int, places: int) -> np.ndarray:
 
 
 class Topics:
-    """A fitted model: known places, topics (row of a place by topic, each normal within a language), topics of each subject and limit of a sentence by language."""
+    """A fitted model: known places, topics (row of a place by topic, each normal within a language), topics of each subject and limit of a sentence
+    by language, and the rows of each topic's top terms by (language, topic)."""
 
-    def __init__(self, known: np.ndarray, beta: np.ndarray, subject_of: np.ndarray, limits: np.ndarray):
-        self.known, self.beta, self.subject_of, self.limits = known, beta, subject_of, limits
+    def __init__(self, known: np.ndarray, beta: np.ndarray, subject_of: np.ndarray, limits: np.ndarray, top: dict[tuple[int, int], np.ndarray]):
+        self.known, self.beta, self.subject_of, self.limits, self.top = known, beta, subject_of, limits, top
 
 
 def _normal(lam: np.ndarray, lang: np.ndarray) -> np.ndarray:
@@ -298,16 +300,18 @@ def fit(coded: DataFrame, labels: DataFrame, subjects: list[str], rounds: int =
         shared.destroy()
     # Inspection, by language: a topic belongs to the subject that its top terms were labelled with, if they agree.
     subject_of = np.full((len(LANGUAGES), k), -1)
+    tops: dict[tuple[int, int], np.ndarray] = {}
     for g in range(len(LANGUAGES)):
         places = np.flatnonzero(lang == g)
         mass = lam[places] / lam[places].sum(1, keepdims=True)
         for j in range(k):
             top = places[np.argsort(-(mass[:, j] * np.log1p(lam[places, j])))[:TOP_TERMS]]
+            tops[g, j] = top
             votes = strong[top].sum(0)
             b = int(votes.argmax()) if n else 0
             if len(top) and n and votes[b] > 0.6 * votes.sum() and votes[b] > 0.1 * len(top):
                 subject_of[g, j] = b
-    model = Topics(known, _normal(lam, lang), subject_of, np.full(len(LANGUAGES), LIMIT))
+    model = Topics(known, _normal(lam, lang), subject_of, np.full(len(LANGUAGES), LIMIT), tops)
     model.limits = _limits(model, read, subjects)
     return model
 
@@ -376,6 +380,10 @@ def prepare(df: DataFrame, key: str, text: str) -> DataFrame:
     return settle(df.select(F.col(key).alias("_id"), F.col(text).alias("_text")).mapInArrow(_split, f"_id {kind}, _ids array<array<int>>"))
 
 
+def known_labels(labels: DataFrame, subjects: list[str], key: str) -> DataFrame:
+    return labels.select(F.col(key).alias("_id"), normal("subject").alias("subject")).where(F.col("subject").isin(subjects) & F.col("_id").isNotNull()).distinct()
+
+
 def proportions(df: DataFrame, labels: DataFrame, subjects: list[str], key: str = "doc_id", text: str = "text", **how: int) -> DataFrame:
     """key, subject, ``share``: of each row's sentences the share about each subject, 0 left out.
 
@@ -384,8 +392,7 @@ def proportions(df: DataFrame, labels: DataFrame, subjects: list[str], key: str
     Repeated keys are separate rows.
     """
     coded = prepare(df, key, text)
-    known = labels.select(F.col(key).alias("_id"), normal("subject").alias("subject")).where(F.col("subject").isin(subjects) & F.col("_id").isNotNull()).distinct()
-    shared = df.sparkSession.sparkContext.broadcast(fit(coded, known, subjects, **how))
+    shared = df.sparkSession.sparkContext.broadcast(fit(coded, known_labels(labels, subjects, key), subjects, **how))
     kind = coded.schema["_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,15 +409,44 @@ def proportions(df: DataFrame, labels: DataFrame, subjects: list[str], key: str
     return coded.mapInArrow(run, f"`{key}` {kind.simpleString()}, subject string, share double")
 
 
+def topic_terms(df: DataFrame, model: Topics, subjects: list[str], text: str = "text") -> DataFrame:
+    """language, topic, ``subject`` (null if the topic belongs to none), ``rank``, ``term``: the top terms by which topics are mapped to subjects.
+
+    A place is shown by the term that stands there in most sentences. Languages without known terms have no topics.
+    """
+    spark = df.sparkSession
+    wanted = spark.sparkContext.broadcast({int(model.known[r]) for rows in model.top.values() for r in rows})  # bounded: languages x topics x TOP_TERMS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = wanted.value
+        seen: Counter = Counter()
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                lang = language(t) if t else "other"
+                for s in sentences_of(t, lang):
+                    seen.update((p, x) for x in terms(s) if (p := place(x, LANGUAGES.index(lang))) in places)
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in seen], pa.int32()), pa.array([x for _, x in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], names=["place", "term", "n"])
+
+    counted = df.select(text).mapInArrow(run, "place int, term string, n bigint").groupBy("place", "term").agg(F.sum("n").alias("n"))
+    named = counted.groupBy("place").agg(F.min(F.struct(-F.col("n"), "term"))["term"].alias("term"))
+    rows = [(LANGUAGES[g], j, subjects[model.subject_of[g, j]] if model.subject_of[g, j] >= 0 else None, i, int(model.known[r])) for (g, j), rows in model.top.items() for i, r in enumerate(rows)]
+    listed = spark.createDataFrame(rows, "language string, topic int, subject string, rank int, place int")
+    return listed.join(named, "place").select("language", "topic", "subject", "rank", "term")
+
+
 #: Subjects are columns of the model; more than this are refused, not cut.
 MOST_SUBJECTS = 1_000
 
 
-def _shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _subjects(spark: SparkSession, sf_dir: str) -> list[str]:
     subjects = sorted(r.subject for r in table(spark, sf_dir, "subjects").select("subject").where("subject is not null").distinct().limit(MOST_SUBJECTS + 1).collect())
     if len(subjects) > MOST_SUBJECTS:
         raise ValueError("more subjects than a model can hold")
-    return proportions(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "doc_labels"), subjects)
+    return subjects
+
+
+def _shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return proportions(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "doc_labels"), _subjects(spark, sf_dir))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,5 +457,12 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shares(spark, sf_dir)
 
 
-QUERIES = {"p9_found": p9_found, "p9_shares": p9_shares}
+def p9_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topics with their top terms and subjects, for inspection."""
+    docs, subjects = table(spark, sf_dir, "documents").select("doc_id", "text"), _subjects(spark, sf_dir)
+    model = fit(prepare(docs, "doc_id", "text"), known_labels(table(spark, sf_dir, "doc_labels"), subjects, "doc_id"), subjects)
+    return topic_terms(docs, model, subjects)
+
+
+QUERIES = {"p9_found": p9_found, "p9_shares": p9_shares, "p9_topics": p9_topics}
 SQL: dict[str, str] = {}

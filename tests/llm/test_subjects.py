@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from corpuscle.llm.subjects import ALPHA, CHUNK, LANGUAGES, MIN_DOCS, PLACES, SETTLED, _added, _rows, _sums, _read, fit, language, place, prepare, proportions, sentences_of, settled, terms
+from corpuscle.llm.subjects import ALPHA, CHUNK, LANGUAGES, MIN_DOCS, PLACES, SETTLED, _added, _rows, _sums, _read, fit, language, place, prepare, proportions, sentences_of, settled, terms, topic_terms
 
 WORDS = {"law": ["verdict hearing", "penal code", "appeal court"], "sport": ["goal keeper", "relay team", "penalty kick"], "science": ["enzyme count", "photon field", "fossil layer"]}
 FRAMES = ["The {} is older than it looks.", "Nobody asked about the {} again.", "We come back to the {} soon."]
@@ -58,6 +58,8 @@ def test_only_places_of_enough_documents_are_known(spark):
     block = LANGUAGES.index("other")
     assert set(model.known) == {place(t, block) for t in ("alpha", "beta", "gamma", "alpha beta", "beta gamma")}
     assert np.allclose(model.beta.sum(0), 1, atol=1e-3)
+    got = topic_terms(spark.createDataFrame(docs, "k bigint, t string"), model, ["law"], "t").where("topic = 0").collect()
+    assert {r.term for r in got} == {"alpha", "beta", "gamma", "alpha beta", "beta gamma"} and {r.language for r in got} == {"other"}
 
 
 def test_proportions_settle():
