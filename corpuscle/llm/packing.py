@@ -27,7 +27,7 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     Lengths run from the largest down; each goes to the containers with the least room that still holds it, and to new ones
     when none does. Containers of equal content form a class with consecutive numbers, split when only part of it is
     filled. A class that takes a length as often as it fits does so at once, so work depends on distinct lengths, not counts.
-    Lengths of 0 need no room: they go one by one to the containers in turn, to a new container if there are none.
+    Lengths of 0 need no room: they go one by one to the containers in turn, to new ones where a container would hold more than ``capacity`` of them.
     """
     slots: list[tuple[int, int, int, int]] = []
     room: list[int] = []
@@ -68,7 +68,7 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
             if use < n:
                 put(r, first + use, n - use)
     empties, rank = histogram.get(0, 0), 0
-    made = made or (1 if empties else 0)
+    made = max(made, -(-empties // capacity))
     while rank < empties:
         n = min(made, empties - rank)
         rounds = max(1, (empties - rank) // made)
@@ -99,22 +99,20 @@ def pack(df: DataFrame, key: str, size: str, capacity: int = CAPACITY, parts: in
     counts = pieces.groupBy("n_tokens", "_part").agg(F.count("*").alias("_c"))
     histogram = {r.n_tokens: r.c for r in counts.groupBy("n_tokens").agg(F.sum("_c").alias("c")).collect()}
     slots = plan(histogram, capacity)
-    if len(slots) > 64 * (capacity + 1):
-        raise ValueError("the plan outgrew its bound")
 
     offsets = counts.select("n_tokens", "_part", (F.sum("_c").over(Window.partitionBy("n_tokens").orderBy("_part")) - F.col("_c")).alias("_before"))
     within = Window.partitionBy("n_tokens", "_part").orderBy("_key", "piece")
     ranked = pieces.withColumn("_row", F.row_number().over(within)).join(offsets, ["n_tokens", "_part"])
     ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_row") - 1).drop("_part", "_row", "_before")
 
-    # One row per length with its slots in order of rank: at most capacity + 1 rows, so it may be broadcast.
+    # One row per length with its slots in order of rank: at most capacity + 1 rows. Whether they are broadcast is left to their size.
     spark = df.sparkSession
     by_length: dict[int, list[tuple[int, int, int]]] = {}
     for length, rank, container, many in slots:
         by_length.setdefault(length, []).append((rank, container, many))
     schema = "n_tokens int, _slots array<struct<rank:bigint,container:bigint,many:bigint>>, _ranks array<bigint>"
     rows = [(length, sorted(s), sorted(x[0] for x in s)) for length, s in by_length.items()]
-    planned = F.broadcast(spark.createDataFrame(rows, schema))
+    planned = spark.createDataFrame(rows, schema)
     lo = F.size(F.filter("_ranks", lambda x: x <= F.col("_rank")))
     placed = ranked.join(planned, "n_tokens").withColumn("_slot", F.element_at("_slots", lo))
     into = F.col("_rank") - F.col("_slot.rank")

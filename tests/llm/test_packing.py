@@ -79,3 +79,9 @@ def test_empty_and_only_empties(spark):
     assert pack(empty, "doc_id", "n").count() == 0
     only = spark.createDataFrame([(i, None) for i in range(5)], "doc_id bigint, n int")
     assert {r.container for r in pack(only, "doc_id", "n").collect()} == {0}
+
+
+def test_empty_items_fill_no_container_beyond_its_number():
+    for empties, made in ((0, 0), (1, 1), (50, 1), (51, 2), (1_000, 20)):
+        load = fill({0: empties} if empties else {}, 50)
+        assert len(load) == made
