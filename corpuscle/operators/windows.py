@@ -29,9 +29,9 @@ def window_numbers(df: DataFrame, by: list[str], order: str, words: str, keep: l
     block = F.coalesce(F.floor(F.col(order) / BLOCK), F.lit(-1)).cast("bigint")
     rows = df.select(*by, F.struct(F.col(order), *keep, F.coalesce(F.col(words), F.lit(0)).cast("int").alias("_w")).alias("_r"), block.alias("_block"))
     packed = rows.groupBy(*by, "_block").agg(F.array_sort(F.collect_list("_r")).alias("_x"))
-    # States: 0 is full (or nothing yet), else 1 + (sentences - 1) * (ceiling + 1) + words.
-    wide = ceiling + 1
-    shut = f"(a.n >= {sentences} OR (a.n = 1 AND a.w > {most}) OR a.w > {ceiling})"
+    # States: 0 is full (or nothing yet), else 1 + (sentences - 1) * wide + words.
+    wide = (most if least <= 2 else ceiling) + 1
+    shut = f"(a.n >= {sentences} OR ((a.n = 1 OR a.n >= {least}) AND a.w > {most}) OR a.w > {ceiling})"
     closes = f"({shut} OR (a.w + x > {most} AND (a.n >= {least} OR a.w + x > {ceiling})))"
     grow = f"(a, x) -> IF(a.open AND (a.n = 0 OR NOT {closes}), named_struct('n', a.n + 1, 'w', a.w + x, 'k', a.k + 1, 'open', true), named_struct('n', a.n, 'w', a.w, 'k', a.k, 'open', false))"
     code = f"CAST(IF({shut}, 0, 1 + (a.n - 1) * {wide} + a.w) AS INT)"
