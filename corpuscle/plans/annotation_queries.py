@@ -66,10 +66,15 @@ def occurrence_zero_fill(spark: SparkSession, d: str) -> DataFrame:
     return occurrence(_long(spark, d), "field", "label", vocabulary(spark).select("field", F.col("value").alias("label")))
 
 
-def confusion_q(spark: SparkSession, d: str) -> DataFrame:
+#: The coder that others are compared with.
+LEAD = "an-lead"
+
+
+def confusion_q(spark: SparkSession, d: str, lead_coder: str = LEAD) -> DataFrame:
+    """Function labels of one coder against those of the others, by window of round 1."""
     rows = _long(spark, d).where("round = 'round1' and field = 'function'")
-    lead = rows.where("coder = 'an-lead'").select("window_id", F.col("label").alias("label_a"))
-    rest = rows.where("coder <> 'an-lead'").select("window_id", F.col("label").alias("label_b"))
+    lead = rows.where(F.col("coder") == lead_coder).select("window_id", F.col("label").alias("label_a"))
+    rest = rows.where(F.col("coder") != lead_coder).select("window_id", F.col("label").alias("label_b"))
     return lead.join(rest, "window_id").groupBy("label_a", "label_b").agg(F.count("*").alias("n"))
 
 
@@ -213,7 +218,7 @@ SQL = {
         + [f"SELECT \"round\", coder, window_id, 'evidence_type', 'condition without value' FROM ca WHERE {_N('function')} = 'evidence' AND evidence_type IS NULL", f"SELECT \"round\", coder, window_id, 'evidence_type', 'value without condition' FROM ca WHERE coalesce({_N('function')}, '') <> 'evidence' AND evidence_type IS NOT NULL"]
     ),
     "occurrence_zero_fill": f"WITH {_LONG}, {_VOCAB} SELECT voc.field, voc.value AS label, count(long.label) AS n FROM voc LEFT JOIN long ON long.field = voc.field AND long.label = voc.value GROUP BY 1, 2",
-    "confusion": f"""WITH {_LONG}, x AS (SELECT * FROM long WHERE "round" = 'round1' AND field = 'function') SELECT a.label AS label_a, b.label AS label_b, count(*) AS n FROM x a JOIN x b USING (window_id) WHERE a.coder = 'an-lead' AND b.coder <> 'an-lead' GROUP BY 1, 2""",
+    "confusion": f"""WITH {_LONG}, x AS (SELECT * FROM long WHERE "round" = 'round1' AND field = 'function') SELECT a.label AS label_a, b.label AS label_b, count(*) AS n FROM x a JOIN x b USING (window_id) WHERE a.coder = '{LEAD}' AND b.coder <> '{LEAD}' GROUP BY 1, 2""",
     "round_confusion": f"""WITH {_LONG}, c AS (SELECT window_id, "round", label, count(*) AS n FROM long WHERE field = 'function' GROUP BY 1, 2, 3), x AS (SELECT * FROM c QUALIFY n * 2 > sum(n) OVER (PARTITION BY window_id, "round"))
       SELECT a.label AS label_a, b.label AS label_b, count(*) AS n FROM x a JOIN x b USING (window_id) WHERE a."round" = 'round1' AND b."round" = 'round2' GROUP BY 1, 2""",
     "majority_vote": f"""WITH {_LONG}, c AS (SELECT window_id, field, label, count(*) AS n FROM long WHERE "round" = 'round1' GROUP BY 1, 2, 3), t AS (SELECT *, CAST(sum(n) OVER (PARTITION BY window_id, field) AS BIGINT) AS n_ratings FROM c QUALIFY row_number() OVER (PARTITION BY window_id, field ORDER BY n DESC, label DESC) = 1)

@@ -68,10 +68,14 @@ def quota_sample_q(spark: SparkSession, d: str) -> DataFrame:
     return quota_sample(w, "video_id", "window_id", 50, SEED).select("video_id", "window_id", "idx")
 
 
-def phrase_candidates(spark: SparkSession, d: str) -> DataFrame:
+#: Phrases that select videos; terms that a text must not have.
+PHRASES, FORBIDDEN = [*CTA_PHRASES, "stay until the end", "escreva o seu palpite"], ["rocket science", "marathon", "http"]
+
+
+def phrase_candidates(spark: SparkSession, d: str, phrases: list[str] = PHRASES) -> DataFrame:
     """Videos any of whose windows has one of the phrases."""
     w = current_rows(table(spark, d, "windows").select("window_id", "video_id", "text", "loaded_at"), ["window_id"])
-    return w.where(contains_any(F.col("text"), [*CTA_PHRASES, "stay until the end", "escreva o seu palpite"])).select("video_id").distinct()
+    return w.where(contains_any(F.col("text"), phrases)).select("video_id").distinct()
 
 
 def readability(spark: SparkSession, d: str) -> DataFrame:
@@ -87,10 +91,10 @@ def source_contamination(spark: SparkSession, d: str) -> DataFrame:
     return x.groupBy("source").agg(F.count("*").alias("n"), F.sum("words").alias("words"), F.sum("sentences").alias("sentences"), F.round(F.avg("ease"), 6).alias("ease"))
 
 
-def forbidden_terms(spark: SparkSession, d: str) -> DataFrame:
+def forbidden_terms(spark: SparkSession, d: str, forbidden: list[str] = FORBIDDEN) -> DataFrame:
     """Documents with a literal forbidden term."""
     t = table(spark, d, "documents").select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("t"))
-    return t.select("doc_id", F.explode(F.array_compact(F.array(*[F.when(F.col("t").contains(x), F.lit(x)) for x in ("rocket science", "marathon", "http")]))).alias("term"))
+    return t.select("doc_id", F.explode(F.array_compact(F.array(*[F.when(F.col("t").contains(x), F.lit(x)) for x in forbidden]))).alias("term"))
 
 
 def channel_report(spark: SparkSession, d: str) -> DataFrame:
@@ -154,10 +158,10 @@ SQL = {
     "quota_sample": f"""WITH {CUR_W}, q AS (SELECT video_id, window_id, idx, sha1('{SEED}:' || window_id) AS h, row_number() OVER (PARTITION BY video_id ORDER BY sha1('{SEED}:' || window_id), window_id) AS r, 50 // (SELECT count(DISTINCT video_id) FROM cw) AS quota FROM cw),
       base AS (SELECT * FROM q WHERE r <= quota), rest AS (SELECT * FROM q WHERE r > quota QUALIFY row_number() OVER (ORDER BY h, window_id) <= 50 - (SELECT count(*) FROM base))
       SELECT video_id, window_id, idx FROM base UNION ALL SELECT video_id, window_id, idx FROM rest""",
-    "phrase_candidates": f"WITH {CUR_W} SELECT DISTINCT video_id FROM cw WHERE " + " OR ".join(f"contains(lower(text), '{p}')" for p in [*CTA_PHRASES, "stay until the end", "escreva o seu palpite"]),
+    "phrase_candidates": f"WITH {CUR_W} SELECT DISTINCT video_id FROM cw WHERE " + " OR ".join(f"contains(lower(text), '{p}')" for p in PHRASES),
     "readability": f"WITH {_READ} SELECT doc_id, words, sentences, syllables, ease FROM rd",
     "source_contamination": f"WITH {_READ} SELECT source, count(*) AS n, CAST(sum(words) AS BIGINT) AS words, CAST(sum(sentences) AS BIGINT) AS sentences, round(avg(ease), 6) AS ease FROM rd GROUP BY 1",
-    "forbidden_terms": "SELECT doc_id, term FROM documents, (VALUES ('rocket science'), ('marathon'), ('http')) t(term) WHERE contains(lower(text), term)",
+    "forbidden_terms": "SELECT doc_id, term FROM documents, (VALUES " + ", ".join(f"('{x}')" for x in FORBIDDEN) + ") t(term) WHERE contains(lower(text), term)",
     "channel_report": f"WITH {CUR_V} SELECT channel, source, count(*) AS n, CAST(sum(coalesce(view_count, 0)) AS BIGINT) AS views, CAST(grouping_id(channel, source) AS INT) AS level FROM cv GROUP BY ROLLUP (channel, source)",
     "gate_report": f"""WITH {_GATE}, {_GATES}, ms AS (SELECT 'profile_videos' AS gate, channel, CAST(n_profile AS DOUBLE) AS m FROM ga UNION ALL SELECT 'holdout_videos', channel, CAST(n_holdout AS DOUBLE) FROM ga UNION ALL SELECT 'word_ratio', channel, least_ratio FROM ga),
       x AS (SELECT g.*, c.channel, list_contains(string_split(g.roles, ','), c.role) AS applies FROM gates g CROSS JOIN channels c WHERE scope = 'per_channel' UNION ALL SELECT g.*, NULL, true FROM gates g WHERE scope = 'global'),

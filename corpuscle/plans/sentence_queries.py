@@ -61,7 +61,9 @@ def chunk_offsets_q(spark: SparkSession, d: str) -> DataFrame:
 def sentence_time_attach(spark: SparkSession, d: str) -> DataFrame:
     """Where every 100th character of a video's text was said: attachment alone, in a form SQL shares; sentence_times is the whole job."""
     chunks = _chunks(spark, d)
-    points = chunks.groupBy("video_id").agg(F.max("char_to").alias("n")).select("video_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n"), F.lit(100).cast("bigint"))).alias("pos"))
+    # Each chunk gives the positions of its own span and of the space behind it.
+    first = F.ceil(F.col("char_from") / EVERY) * EVERY
+    points = chunks.where(first <= F.col("char_to")).select("video_id", F.explode(F.sequence(first, F.col("char_to"), F.lit(EVERY).cast("bigint"))).alias("pos"))
     got = attach(points, chunks.select("video_id", "char_from", F.col("frag_idx").alias("chunk")), ["video_id"], "pos")
     return got.select("video_id", "pos", "chunk")
 
@@ -78,6 +80,10 @@ def sentence_times(spark: SparkSession, d: str) -> DataFrame:
     return timed.groupBy("video_id", "idx", "char_from", "char_to").agg(F.max(F.when(F.col("_end") == 0, F.col("start"))).alias("start_s"), F.max(F.when(F.col("_end") == 1, F.col("_until"))).alias("end_s"))
 
 
+#: Distance of the positions that sentence_time_attach attaches.
+EVERY = 100
+
+
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
     return _sentences(spark, d).withColumn("next_text", F.lead("text").over(Window.partitionBy("video_id").orderBy("idx", "sent_id")))
 
