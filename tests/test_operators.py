@@ -267,7 +267,7 @@ def test_seeded_holdout_of_every_channel(spark, tmp_path):
 
 
 def _brute_sentences(frags):
-    """The reference's way: the joined text cut into sentences, each attached by a search of all spans."""
+    """The plain way: the joined text cut into sentences, each attached by a search of all spans."""
     text, spans = "", []
     for start, dur, t in frags:
         text += " " if spans else ""
